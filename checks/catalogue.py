@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, TimestampType
 
+from ledgerstone.session import tune
+
 
 @dataclass(frozen=True)
 class Check:
@@ -34,7 +36,7 @@ def comparable(frame: DataFrame) -> DataFrame:
 def register(name: str, query: Callable[[SparkSession, str], DataFrame], oracle: str | None = None) -> None:
     if name in CHECKS:
         raise ValueError(f"query {name} is registered twice")
-    CHECKS[name] = Check(lambda spark, sf_dir: comparable(query(spark, sf_dir)), oracle)
+    CHECKS[name] = Check(lambda spark, sf_dir: comparable(query(tune(spark), sf_dir)), oracle)
 
 
 def checked(oracle: str | None = None):

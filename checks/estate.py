@@ -31,18 +31,18 @@ def text(x: str) -> str:
     return f"CAST({x} AS STRING)"
 
 
-def uuid(x: str) -> str:
-    h = f"md5({x})"
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in cuts)
+def uuid(kind: str, k: str) -> str:
+    """An id of the required format: eight digits name the kind, the last twelve hold the key."""
+    tag = format(sum(ord(c) * 31**i for i, c in enumerate(kind)) % 16**8, "08x")
+    return f"'{tag}-0000-4000-8000-' || lpad({text(k)}, 12, '0')"
 
 
 def party(k: str) -> str:
-    return uuid(f"'party-' || {text(k)}")
+    return uuid("party", k)
 
 
 def account(k: str) -> str:
-    return uuid(f"'account-' || {text(k)}")
+    return uuid("account", k)
 
 
 def padded(prefix: str, k: str, width: int) -> str:
@@ -124,9 +124,8 @@ def _customers(ts: str, prefix: str, control: str) -> str:
 
 def _documents() -> str:
     op = "CASE WHEN l_discount >= 0.1 THEN 'DELETE' ELSE 'UPDATE' END"
-    key = f"{text('l_orderkey')} || '-' || {text('l_linenumber')}"
     return f"""
-    SELECT {uuid(f"'document-' || {key}")} AS documentId, {application('l_orderkey')} AS applicationId,
+    SELECT {uuid('document', 'l_orderkey * 100 + l_linenumber')} AS documentId, {application('l_orderkey')} AS applicationId,
       {party('o_custkey')} AS global_id, 'CUST-' || {text('o_custkey')} AS customerId,
       CASE l_returnflag WHEN 'A' THEN 'PAYSLIP' WHEN 'R' THEN 'IDENTITY' ELSE 'STATEMENT' END AS documentType,
       CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'VERIFIED' WHEN 'NF' THEN 'received'
@@ -147,7 +146,7 @@ def _cases() -> str:
     opened = later("TIMESTAMP '2024-01-01 00:00:00'", "conv_id % 700", "HOUR")
     ts = later(opened, "turn", "HOUR")
     return f"""
-    SELECT {uuid(f"'case-' || {text('conv_id')}")} AS caseId, {party('conv_id')} AS global_id,
+    SELECT {uuid('case', 'conv_id')} AS caseId, {party('conv_id')} AS global_id,
       CASE WHEN conv_id % 4 = 0 THEN {organisation('conv_id')} END AS organisationId,
       CASE WHEN conv_id % 3 = 0 THEN {application('conv_id')} END AS applicationId,
       {second(later(opened, '3', 'HOUR'))} AS slaDeadline,
@@ -165,8 +164,8 @@ def _cases() -> str:
 def _case_events() -> str:
     ts = later("TIMESTAMP '2024-01-01 00:00:00'", "conv_id % 700 + turn", "HOUR")
     return f"""
-    SELECT {uuid(f"'case-event-' || {text('conv_id')} || '-' || {text('turn')}")} AS eventId,
-      {uuid(f"'case-' || {text('conv_id')}")} AS caseId, {party('conv_id')} AS global_id,
+    SELECT {uuid('case-event', "conv_id * 100 + turn")} AS eventId,
+      {uuid('case', 'conv_id')} AS caseId, {party('conv_id')} AS global_id,
       CASE role WHEN 'user' THEN 'CUSTOMER_CONTACTED' WHEN 'assistant' THEN 'note_added'
            ELSE CASE WHEN turn = 0 THEN 'ESCALATED' ELSE 'SYSTEM' END END AS eventType,
       {second(ts)} AS eventTimestamp, text AS description, {loaded(ts)}
@@ -176,7 +175,7 @@ def _case_events() -> str:
 def _stages() -> str:
     out = later("ts", "floor(value * 10)", "MINUTE")
     return f"""
-    SELECT {uuid(f"'stage-' || {text('event_id')}")} AS historyId, {application('user_id')} AS applicationId,
+    SELECT {uuid('stage', 'event_id')} AS historyId, {application('user_id')} AS applicationId,
       {party('user_id')} AS global_id,
       CASE event_type WHEN 'signup' THEN 'submitted' WHEN 'view' THEN 'document_verification'
            WHEN 'click' THEN ' assessment' WHEN 'purchase' THEN 'APPROVED' ELSE 'denied' END AS stage,
@@ -192,7 +191,7 @@ def _stages() -> str:
 
 def _statuses() -> str:
     return f"""
-    SELECT {uuid(f"'status-' || {text('event_id')}")} AS changeId, {application('user_id')} AS applicationId,
+    SELECT {uuid('status', 'event_id')} AS changeId, {application('user_id')} AS applicationId,
       {party('user_id')} AS global_id, event_type AS oldStatus,
       CASE WHEN value < 5 THEN 'view' WHEN value < 20 THEN 'click' WHEN value < 60 THEN 'accepted' ELSE ' ' END AS newStatus,
       {second('ts')} AS changedAt, CASE WHEN value > 10 THEN ' by rule ' END AS reason, {loaded('ts')}
@@ -201,7 +200,7 @@ def _statuses() -> str:
 
 def _lifecycle() -> str:
     return f"""
-    SELECT {uuid(f"'life-' || {text('event_id')}")} AS eventId, {application('user_id')} AS applicationId,
+    SELECT {uuid('life', 'event_id')} AS eventId, {application('user_id')} AS applicationId,
       {party('user_id')} AS global_id, 'A_' || event_type AS conceptName, 'complete' AS lifecycleTransition,
       {second('ts')} AS timestamp, CASE WHEN value < 2 THEN 'robot' ELSE 'system' END AS eventOrigin,
       'created' AS action, {loaded('ts')}
@@ -210,7 +209,7 @@ def _lifecycle() -> str:
 
 def _support() -> str:
     return f"""
-    SELECT {uuid(f"'support-' || {text('event_id')}")} AS interactionId, {party('user_id')} AS global_id,
+    SELECT {uuid('support', 'event_id')} AS interactionId, {party('user_id')} AS global_id,
       CASE event_type WHEN 'view' THEN 'phone' WHEN 'click' THEN ' chat ' WHEN 'signup' THEN 'EMAIL'
            WHEN 'purchase' THEN 'branch' ELSE ' ' END AS channel,
       {second('ts')} AS timestamp, 'about ' || event_type AS topic,
@@ -235,7 +234,7 @@ KYC_AT = "TIMESTAMP '2023-12-01 00:00:00'"
 
 def _kyc(kind: str, key: str, owner: str, balance: str, nation: str) -> str:
     return f"""
-    SELECT {party(key)} AS global_id, {uuid(f"'{kind}-' || {text(key)}")} AS kycId, {owner} AS organisationId,
+    SELECT {party(key)} AS global_id, {uuid(kind, key)} AS kycId, {owner} AS organisationId,
       CASE WHEN {balance} < 0 THEN 'failed' WHEN {balance} < 1000 THEN 'PENDING' WHEN {balance} > 9990 THEN 'LOST' ELSE 'verified' END AS verificationStatus,
       '2023-06-01' AS verificationDate, 'document' AS verificationMethod,
       CASE WHEN {nation} < 5 THEN 'low' WHEN {nation} < 20 THEN 'MEDIUM' ELSE 'HIGH' END AS riskRating,
@@ -246,7 +245,7 @@ def _kyc(kind: str, key: str, owner: str, balance: str, nation: str) -> str:
 
 
 def _role(role: str, custkey: str, level: str, start: str, active: str) -> str:
-    rid = uuid(f"'{role}-' || {text('s_suppkey')}")
+    rid = uuid(role, 's_suppkey')
     return f"""
     SELECT {rid} AS relationshipId, {party(custkey)} AS global_id, {organisation('s_suppkey')} AS organisationId,
       '{role}' AS partyRole, {level} AS authorityLevel, {active} AS isActive, '{start}' AS startDate,
@@ -278,12 +277,12 @@ SOURCES: dict[str, str] = {
       {change(_SNAP, START, 'c_custkey')}
     FROM {{customer}} WHERE c_acctbal >= 500""",
     "physical_addresses": f"""
-    SELECT {party('c_custkey')} AS global_id, {uuid(f"'home-' || {text('c_custkey')}")} AS addressId, 'home' AS purpose,
+    SELECT {party('c_custkey')} AS global_id, {uuid('home', 'c_custkey')} AS addressId, 'home' AS purpose,
       'simple' AS addressUType, 'Suburb ' || {text('c_nationkey')} AS suburb, 'nsw' AS state,
       {text('2000 + c_nationkey')} AS postcode, 'AU' AS country, {change(_SNAP, START, 'c_custkey')}
     FROM {{customer}} WHERE c_nationkey < 20
     UNION ALL
-    SELECT {party('c_custkey')} AS global_id, {uuid(f"'mail-' || {text('c_custkey')}")} AS addressId, 'MAILING' AS purpose,
+    SELECT {party('c_custkey')} AS global_id, {uuid('mail', 'c_custkey')} AS addressId, 'MAILING' AS purpose,
       'simple' AS addressUType, ' ' AS suburb, 'vic' AS state,
       {text('3000 + c_nationkey')} AS postcode, 'AU' AS country, {change(_SNAP, KYC_AT, 'c_custkey')}
     FROM {{customer}} WHERE c_acctbal > 0""",
@@ -309,7 +308,7 @@ SOURCES: dict[str, str] = {
         ]
     ),
     "organisation_relationships": f"""
-    SELECT {uuid(f"'link-' || {text('s_suppkey')}")} AS relationshipId, {organisation('s_suppkey')} AS sourceOrgId,
+    SELECT {uuid('link', 's_suppkey')} AS relationshipId, {organisation('s_suppkey')} AS sourceOrgId,
       CASE WHEN s_nationkey = 0 THEN {organisation('s_suppkey')} ELSE {organisation('s_suppkey + 1')} END AS targetOrgId,
       CASE WHEN s_nationkey < 9 THEN 'parent_subsidiary' WHEN s_nationkey < 20 THEN 'PARTNERSHIP' ELSE 'rival' END AS relationshipType,
       s_acctbal > 1000 AS isActive, '2011-02-03' AS startDate, {change(_SNAP, START, 's_suppkey')}
@@ -328,7 +327,7 @@ SOURCES: dict[str, str] = {
       {change(_SNAP, KYC_AT, 'c_custkey')}
     FROM {{customer}} WHERE c_acctbal > -500""",
     "loan_accounts": f"""
-    SELECT {party('o_custkey')} AS global_id, {uuid(f"'loan-' || {text('o_orderkey')}")} AS loanId,
+    SELECT {party('o_custkey')} AS global_id, {uuid('loan', 'o_orderkey')} AS loanId,
       {account('o_custkey')} AS accountId, 'personal' AS loanType,
       CASE WHEN o_totalprice < 5000 THEN ' ' WHEN o_orderpriority = '1-URGENT' THEN 'active' ELSE 'CLOSED' END AS status,
       'monthly' AS repaymentFrequency, CAST(o_custkey % 640 AS INT) AS termMonths, {day('o_orderdate')} AS startDate,
@@ -337,14 +336,14 @@ SOURCES: dict[str, str] = {
       {change(_SNAP, 'o_orderdate', 'o_orderkey')}
     FROM {{orders}} WHERE o_orderstatus = 'F'""",
     "mortgage_accounts": f"""
-    SELECT {party('o_custkey')} AS global_id, {uuid(f"'mortgage-' || {text('o_orderkey')}")} AS mortgageId,
+    SELECT {party('o_custkey')} AS global_id, {uuid('mortgage', 'o_orderkey')} AS mortgageId,
       {account('o_custkey + 700')} AS accountId, 'fixed' AS interestType, 'MONTHLY' AS repaymentFrequency,
       CAST(5 + o_custkey % 26 AS INT) AS loanTerm, {day('o_orderdate')} AS startDate,
       CASE WHEN o_totalprice < 2000 THEN 'high' ELSE {text('o_custkey % 120')} END AS lvrPercent,
       {money('o_totalprice * 2')} AS loanAmount, {change(_SNAP, 'o_orderdate', 'o_orderkey')}
     FROM {{orders}} WHERE o_orderpriority = '1-URGENT'""",
     "credit_cards": f"""
-    SELECT {party('c_custkey')} AS global_id, {uuid(f"'card-' || {text('c_custkey')}")} AS creditCardId,
+    SELECT {party('c_custkey')} AS global_id, {uuid('card', 'c_custkey')} AS creditCardId,
       CASE WHEN c_mktsegment = 'MACHINERY' THEN {business_of('c_custkey')} END AS organisationId,
       'gold' AS cardType, CASE WHEN c_acctbal > 100 THEN 'active' ELSE 'BLOCKED' END AS status, ' Points' AS rewardProgram,
       '95' AS annualFee, '2019-09-09' AS issuedDate,
@@ -360,7 +359,7 @@ SOURCES: dict[str, str] = {
     "support_interactions": _support(),
     "accepted_loans": f"""
     SELECT {party('l_suppkey')} AS global_id,
-      {uuid(f"'accepted-' || {text('l_orderkey')} || '-' || {text('l_linenumber')}")} AS loanId,
+      {uuid('accepted', "l_orderkey * 100 + l_linenumber")} AS loanId,
       CASE WHEN l_tax < 0.001 THEN ' ' ELSE 'current' END AS loanStatus, l_returnflag AS purpose, ' 36 months' AS term, 'A' AS grade,
       {day('l_shipdate')} AS issuedAt, {money('l_extendedprice')} AS loanAmount, 'member' AS memberId, '1' AS empLength,
       'OWN' AS homeOwnership, '1' AS annualIncome, 'ok' AS verification_status, 'one' AS application_type,
@@ -368,7 +367,7 @@ SOURCES: dict[str, str] = {
     FROM {{lineitem}} WHERE l_linestatus = 'F'""",
     "rejected_applications": f"""
     SELECT CASE WHEN o_totalprice < 2000 THEN 'none' ELSE {party('o_custkey')} END AS global_id,
-      {uuid(f"'rejected-' || {text('o_orderkey')}")} AS loanId, ' ' || o_orderpriority AS applicationTitle,
+      {uuid('rejected', 'o_orderkey')} AS loanId, ' ' || o_orderpriority AS applicationTitle,
       CASE WHEN o_totalprice > 490000 THEN 'never' ELSE {day('o_orderdate')} END AS applicationDate,
       ' too high ' AS rejectionReason, 'ST' AS state, '1' AS employmentLength, '0' AS policyCode, {loaded('o_orderdate')}
     FROM {{orders}} WHERE o_orderstatus = 'P'""",

@@ -75,18 +75,27 @@ def scd2(
     hidden = {sequence, *order, *dropped}
     state = [c for c in log.columns if c not in hidden and c not in keys and c not in untracked]
     payload = [c for c in log.columns if c not in hidden]
+    gone = F.col("_gone")
+
+    def same(side: str) -> Column:
+        """Whether the neighbour exists and holds the same state; deletes have no state."""
+        there = F.struct(*[F.col(f"{side}.{c}") for c in state]) if state else F.lit(True)
+        here = F.struct(*state) if state else F.lit(True)
+        return F.coalesce((F.col(f"{side}._gone") == gone) & (gone | here.eqNullSafe(there)), F.lit(False))
 
-    marked = log.withColumn("_gone", F.coalesce(deleted, F.lit(False))).withColumn(
-        "_state", _fingerprint([*keys, *state], F.col("_gone"))
-    )
     chunk = time_chunk(F.col(sequence), chunk_unit)
     seen = with_neighbours(
-        marked, keys, order, chunk, previous=["_state"], following=["_state", sequence]
+        log.withColumn("_gone", F.coalesce(deleted, F.lit(False))),
+        keys,
+        order,
+        chunk,
+        previous=["_gone", *state],
+        following=["_gone", *state, sequence],
     )
-    opens = ~F.col("_state").eqNullSafe(F.col("_previous._state"))
-    closes = ~F.col("_state").eqNullSafe(F.col("_following._state"))
     borders = (
-        seen.withColumns({"_opens": opens, "_closes": closes, END: F.col(f"_following.{sequence}")})
+        seen.withColumns(
+            {"_opens": ~same("_previous"), "_closes": ~same("_following"), END: F.col(f"_following.{sequence}")}
+        )
         .where(F.col("_opens") | F.col("_closes"))
         .drop("_previous", "_following")
     )

@@ -3,9 +3,9 @@
 A plain ``lag`` or ``row_number`` window sends every row of a key to one task,
 so a key that holds a third of all rows stalls the job. Here each history is
 cut into time chunks. The window runs per (key, chunk), which spreads a hot key
-over as many tasks as it has chunks; what crosses a chunk border comes from a
-summary with one row per (key, chunk). The chunk only decides where the work
-runs: results are the same for every chunking that follows the order.
+over as many tasks as it has chunks; what crosses a chunk border is settled on a
+few rows per (key, chunk). The chunk only decides where the work runs: results
+are the same for every chunking that follows the order.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHUNK = "_chunk"
-_ROW = "_border"
 _BEFORE_ALL = "0001-01-01"
 
 
@@ -45,10 +44,6 @@ def top_by(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], count
     return frame.withColumn("_rank", rank).where(F.col("_rank") <= count)
 
 
-def _summary(chunked: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    return chunked.groupBy(*keys, CHUNK).agg(*aggregates)
-
-
 def with_neighbours(
     frame: DataFrame,
     keys: Sequence[str],
@@ -59,30 +54,43 @@ def with_neighbours(
 ) -> DataFrame:
     """Add structs ``_previous`` and ``_following`` of the named columns of the adjacent rows.
 
-    A struct is null where there is no such row. Keys must not be null.
+    A struct is null where there is no such row. Only the first and last row of
+    a chunk need a neighbour from another chunk; those go through a second,
+    small window per key (two rows per chunk at most). Both branches read the
+    same shuffle, so the input is computed once.
     """
     keys, order = list(keys), list(order)
-    chunked = frame.withColumn(CHUNK, chunk)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(CHUNK)
-    position = F.struct(*order)
-    edges, carries, locals_, picks = [], [], {}, {}
-    if previous:
-        edges.append(F.max_by(F.struct(*previous), position).alias("_last"))
-        carries.append(F.lag("_last").over(across).alias("_carry_in"))
-        locals_["_previous"] = F.lag(F.struct(*previous)).over(inside)
-        picks["_previous"] = F.coalesce("_previous", "_carry_in")
-    if following:
-        edges.append(F.min_by(F.struct(*following), position).alias("_first"))
-        carries.append(F.lead("_first").over(across).alias("_carry_out"))
-        locals_["_following"] = F.lead(F.struct(*following)).over(inside)
-        picks["_following"] = F.coalesce("_following", "_carry_out")
-    carried = _summary(chunked, keys, edges).select(*keys, CHUNK, *carries)
+    across = Window.partitionBy(*keys).orderBy(CHUNK, *order)
+
+    def looked(window) -> dict[str, Column]:
+        found = {}
+        if previous:
+            found["_previous"] = F.lag(F.struct(*previous)).over(window)
+        if following:
+            found["_following"] = F.lead(F.struct(*following)).over(window)
+        return found
+
+    local = frame.withColumn(CHUNK, chunk).withColumns(
+        looked(inside)
+        | {
+            "_first": F.lag(F.lit(True)).over(inside).isNull(),
+            "_last": F.lead(F.lit(True)).over(inside).isNull(),
+        }
+    )
+    edges = local.where(F.col("_first") | F.col("_last"))
+    wide = {f"{name}_across": column for name, column in looked(across).items()}
+    border = {"_previous": "_first", "_following": "_last"}
+    solved = edges.withColumns(wide).withColumns(
+        {
+            name: F.when(F.col(border[name]), F.col(f"{name}_across")).otherwise(F.col(name))
+            for name in looked(across)
+        }
+    )
     return (
-        chunked.withColumns(locals_)
-        .join(carried, [*keys, CHUNK], "left")
-        .withColumns(picks)
-        .drop(CHUNK, "_carry_in", "_carry_out")
+        local.where(~F.col("_first") & ~F.col("_last"))
+        .unionByName(solved.drop(*wide))
+        .drop(CHUNK, "_first", "_last")
     )
 
 
@@ -94,7 +102,7 @@ def with_ordinal(
     chunked = frame.withColumn(CHUNK, chunk)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = _summary(chunked, keys, [F.count("*").alias("_rows")]).select(
+    carried = chunked.groupBy(*keys, CHUNK).agg(F.count("*").alias("_rows")).select(
         *keys, CHUNK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
     return (

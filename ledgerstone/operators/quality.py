@@ -1,8 +1,8 @@
 """Declared rules: compile, evaluate, split, quarantine and measure.
 
-All row rules of an entity are evaluated in one projection (one array column),
-all counts in one aggregate. One predicate feeds both branches of a split, so
-passed plus quarantined is always the input. A rule that evaluates to null has
+All row rules of an entity are evaluated in one projection (one array column) or
+one filter, all counts in one aggregate. The same predicates feed both branches
+of a split, so passed plus quarantined is always the input. A rule that evaluates to null has
 failed.
 """
 
@@ -80,18 +80,18 @@ def required_rules(contract: Contract) -> dict[str, str]:
     return {f"SOURCE_{name.upper()}_REQUIRED": f"`{name}` IS NOT NULL" for name in contract.required}
 
 
+def _verdict(predicate: str | Column) -> Column:
+    return F.expr(predicate) if isinstance(predicate, str) else predicate
+
+
 def failed_rules(rules: Mapping[str, str | Column]) -> Column:
     """Array of the ids of all rules a row breaks, in declaration order."""
     if not rules:
         return F.array().cast("array<string>")
-
-    def verdict(predicate: str | Column) -> Column:
-        return F.expr(predicate) if isinstance(predicate, str) else predicate
-
     return F.array_compact(
         F.array(
             *[
-                F.when(~F.coalesce(verdict(predicate), F.lit(False)), F.lit(name))
+                F.when(~F.coalesce(_verdict(predicate), F.lit(False)), F.lit(name))
                 for name, predicate in rules.items()
             ]
         )
@@ -111,7 +111,10 @@ def with_status(frame: DataFrame, errors: Mapping[str, str], warnings: Mapping[s
 
 
 def passed(frame: DataFrame, rules: Mapping[str, str | Column]) -> DataFrame:
-    return frame.where(F.size(failed_rules(rules)) == 0)
+    """Rows that break no rule: one filter that stops at the first broken rule."""
+    for predicate in rules.values():
+        frame = frame.where(F.coalesce(_verdict(predicate), F.lit(False)))
+    return frame
 
 
 def quarantined(

@@ -16,6 +16,20 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# The JVM never compiles a method above 8,000 bytes of bytecode. Many rules and
+# typed columns fused into one generated method pass that size and would then run
+# interpreted, several times slower; beyond the limit Spark generates one smaller
+# class per operator instead.
+CODEGEN_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set the codegen limit on a session that brings none of its own."""
+    key, value = CODEGEN_LIMIT
+    if spark.conf.get(key) == "65535":  # Spark's default
+        spark.conf.set(key, value)
+    return spark
+
 
 def local_session(name: str = "ledgerstone", cpus: str = "*", partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
@@ -23,7 +37,8 @@ def local_session(name: str = "ledgerstone", cpus: str = "*", partitions: int =
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     return (
-        builder.config("spark.sql.shuffle.partitions", str(partitions))
+        builder.config(*CODEGEN_LIMIT)
+        .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
