@@ -54,6 +54,10 @@ class Warehouse:
             self._frames[slot] = settle(frame) if name in self._settled and kind == "gold" else frame
         return self._frames[slot]
 
+    def keep(self, kind: str, name: str, frame: DataFrame) -> None:
+        """Use ``frame`` for a product from now on, such as its stored form."""
+        self._frames[(kind, name)] = frame
+
     def built(self, name: str) -> DataFrame:
         """Typed rows of an entity before its rules."""
         return self._once("built", name, lambda: silver.build(name, self.sources, self.token_key))
