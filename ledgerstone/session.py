@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Keyed stream state lives on disk with a memory cache, not on the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # The JVM never compiles a method above 8,000 bytes of bytecode. Many rules and
