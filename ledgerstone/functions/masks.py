@@ -43,14 +43,15 @@ PII_PATTERNS = {
 
 
 def _banded(value: Column, bands, top: str) -> Column:
-    """Label of the first band whose upper bound lies above ``value``; null stays null."""
-    first_bound, first_label = bands[0]
-    ladder = reduce(
-        lambda chain, band: chain.when(value < band[0], F.lit(band[1])),
-        bands[1:],
-        F.when(value < first_bound, F.lit(first_label)),
-    )
-    return F.when(value.isNotNull(), ladder.otherwise(F.lit(top)))
+    """Label of the first band whose upper bound lies above ``value``; null stays null.
+
+    The band's position is the number of bounds passed. Every comparison is always
+    made, so the generated code computes ``value`` once; a chain of conditions
+    would compute it again in each branch.
+    """
+    labels = F.array(F.lit(None).cast("string"), *[F.lit(label) for _, label in bands], F.lit(top))
+    passed = reduce(lambda a, b: a + b, [(value >= bound).cast("int") for bound, _ in bands])
+    return F.element_at(labels, F.coalesce(passed + 2, F.lit(1)))
 
 
 def _without(column: Column, pattern: str) -> Column:

@@ -68,7 +68,7 @@ def metric_query(
     where: Column | None = None,
     principal: str | None = None,
 ) -> DataFrame:
-    """Group the view by ``dimensions`` and compute ``measures``.
+    """Group the view by ``dimensions`` and compute ``measures`` (none: the distinct groups).
 
     Only joins that a requested expression mentions are made. Views with an
     owner column show a principal its own rows only.
@@ -106,4 +106,6 @@ def metric_query(
     if where is not None:
         frame = frame.where(where)
     groups = [F.expr(_flat(wanted[d], aliases)).alias(d) for d in dimensions]
+    if not measures:
+        return frame.select(*groups).distinct()
     return frame.groupBy(*groups).agg(*[F.expr(_flat(wanted[m], aliases)).alias(m) for m in measures])

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerstone.operators.joins import orphans, salted_join
+from ledgerstone.operators.joins import orphans
 from ledgerstone.operators.rules.groups import found, keyed
 from ledgerstone.operators.rules.rows import _OPERATORS, condition
 
@@ -38,11 +38,15 @@ def exists(child: DataFrame, parent: DataFrame, spec: Spec) -> DataFrame:
 
 
 def _met(child: DataFrame, parent: DataFrame, spec: Spec) -> DataFrame:
-    """Child rows joined to their parent, whose columns get the prefix ``parent_``."""
+    """Child rows joined to their parent, whose columns get the prefix ``parent_``.
+
+    A parent is one row, so nothing fans out; the only wide exchange feeds the
+    join directly, where Spark splits a partition that one frequent key fills.
+    """
     side = parent.select(
         *[F.col(p).alias(c) for c, p in spec["pairs"]], *[F.col(c).alias(f"parent_{c}") for c in spec["parent_columns"]]
     )
-    return salted_join(child, side, [c for c, _ in spec["pairs"]], spread_by=spec["key"])
+    return child.join(side, [c for c, _ in spec["pairs"]])
 
 
 @_type("REFERENCE_CONDITION", "REFERENCE_CONDITION_FOR_VALUES")

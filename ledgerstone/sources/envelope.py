@@ -1,8 +1,8 @@
 """Transport messages: classify, name, split and measure them.
 
 A message is a row with topic, partition, offset, timestamp, key, ``value`` (the
-raw text), captured_at and batch_id. JSON is read by native path functions, so
-nothing is parsed in Python and one bad message cannot fail a job.
+raw text), captured_at and batch_id. The known fields are read by one native
+parse per message, so nothing runs in Python and one bad message cannot fail a job.
 """
 
 from __future__ import annotations
@@ -18,8 +18,16 @@ UNCLASSIFIED_EVENT = "UNCLASSIFIED_EVENT_ENVELOPE"
 OPERATIONS = {"r": "SNAPSHOT", "c": "INSERT", "u": "UPDATE", "d": "DELETE"}
 
 
-def _path(path: str) -> Column:
-    return F.get_json_object("value", path)
+_ENVELOPE = "_envelope"
+_CDC_FIELDS = (
+    "op string, ts_ms string, source struct<schema: string, table: string, lsn: string, snapshot: string>,"
+    " after string, before string"
+)
+_EVENT_FIELDS = "source_dataset string, load_type string, payload string"
+
+
+def _field(name: str) -> Column:
+    return F.col(f"{_ENVELOPE}.{name}")
 
 
 def _filled(column: Column) -> Column:
@@ -44,56 +52,57 @@ def _is_object(column: Column) -> Column:
 
 
 def _not_empty(column: Column) -> Column:
-    """A JSON object with at least one member."""
-    return _is_object(column) & (F.coalesce(F.size(F.json_object_keys(column)), F.lit(0)) > 0)
+    """Of valid JSON: an object with at least one member."""
+    return _is_object(column) & ~column.rlike(r"^\s*\{\s*\}\s*$")
 
 
 def classify_cdc(messages: DataFrame) -> DataFrame:
     """Add status, data set, record image, load type and change columns to database messages."""
-    qualified = F.concat_ws(".", _filled(_path("$.source.schema")), _filled(_path("$.source.table")))
     value = F.col("value")
-    parsed = F.try_parse_json(value)
+    opened = messages.withColumn(_ENVELOPE, F.from_json("value", _CDC_FIELDS))
+    table = _filled(_field("source.table"))
+    qualified = F.concat_ws(".", _filled(_field("source.schema")), table)
     status = (
         F.when(F.coalesce(value, F.lit("")) == "", TOMBSTONE)
-        .when(parsed.isNull(), INVALID_JSON)
+        .when(F.try_parse_json(value).isNull(), INVALID_JSON)
         .when(~_not_empty(value), TOMBSTONE)
-        .when(_filled(_path("$.source.table")).isNull(), UNCLASSIFIED_CDC)
+        .when(table.isNull(), UNCLASSIFIED_CDC)
         .otherwise(VALID)
     )
-    after, before = _path("$.after"), _path("$.before")
-    code = _path("$.op")
-    return messages.withColumns(
+    after, before, code = _field("after"), _field("before"), _field("op")
+    return opened.withColumns(
         {
             "status": status,
             "dataset": slug(F.coalesce(_filled(qualified), _filled(F.col("topic")), F.lit("unknown_cdc"))),
             "record": F.when(_not_empty(after), after).otherwise(before),
             "load_type": F.when(code == "r", "INITIAL").otherwise("INCREMENTAL"),
             "_operation": operation(code),
-            "_snapshot_state": _path("$.source.snapshot"),
-            "_source_lsn": _path("$.source.lsn").try_cast("bigint"),
-            "_commit_ts": F.timestamp_millis(_path("$.ts_ms").try_cast("bigint")),
+            "_snapshot_state": _field("source.snapshot"),
+            "_source_lsn": _field("source.lsn").try_cast("bigint"),
+            "_commit_ts": F.timestamp_millis(_field("ts_ms").try_cast("bigint")),
         }
-    )
+    ).drop(_ENVELOPE)
 
 
 def classify_events(messages: DataFrame) -> DataFrame:
     """Add status, data set, record and load type to business events."""
     value = F.col("value")
-    body, dataset = _path("$.payload"), _filled(_path("$.source_dataset"))
+    opened = messages.withColumn(_ENVELOPE, F.from_json("value", _EVENT_FIELDS))
+    body, dataset = _field("payload"), _filled(_field("source_dataset"))
     broken = (F.coalesce(value, F.lit("")) != "") & F.try_parse_json(value).isNull()
     status = (
         F.when(broken, INVALID_JSON)
         .when(dataset.isNull() | ~_is_object(body), UNCLASSIFIED_EVENT)
         .otherwise(VALID)
     )
-    return messages.withColumns(
+    return opened.withColumns(
         {
             "status": status,
             "dataset": slug(F.coalesce(dataset, _filled(F.col("topic")), F.lit("unknown_event"))),
             "record": body,
-            "load_type": F.coalesce(_filled(_path("$.load_type")), F.lit("INCREMENTAL")),
+            "load_type": F.coalesce(_filled(_field("load_type")), F.lit("INCREMENTAL")),
         }
-    )
+    ).drop(_ENVELOPE)
 
 
 def valid(classified: DataFrame) -> DataFrame:
