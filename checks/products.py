@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime
+
 from pyspark.sql import SparkSession, functions as F
 
 from checks.catalogue import register
 from checks.estate import AS_OF, CHECK_KEY, spark_source
-from checks.oracle import compose, hard_rules
+from checks.oracle import compose, hard_rules, raw, scd2_sql
 from ledgerstone.plans.gold import PRODUCTS
-from ledgerstone.plans.silver import ENTITIES, SCD2
+from ledgerstone.plans.silver import (
+    BANKING_ACCOUNT,
+    BANKING_BALANCE,
+    ENTITIES,
+    INDIVIDUAL_ADDRESS,
+    INDIVIDUAL_CUSTOMER,
+    INDIVIDUAL_PREFERENCE,
+)
 from ledgerstone.plans.warehouse import Warehouse
 
 # Products that several other products read, computed once per run.
@@ -51,6 +61,36 @@ def _failures_sql(name):
 
 for _name in ENTITIES:
     register(f"silver_{_name}", _history(_name), compose(f"SELECT * FROM his_{_name}"))
+MOMENTS = [datetime(1998, 1, 1), datetime(2000, 1, 1), datetime(2024, 1, 1)]
+
+
+def _joined_sql(name):
+    """The rule-passing state at each moment, keys absent at a moment marked as gone, then versions."""
+    key = ENTITIES[name].keys[0]
+    good = " AND ".join(f"coalesce({p}, false)" for p in hard_rules(name).values())
+    states = []
+    for moment in MOMENTS:
+        body = re.sub(r"\bsrc_(\w+)", rf"(SELECT * FROM src_\1 WHERE _ingested_at <= TIMESTAMP '{moment}')", raw(name))
+        states.append(f"SELECT *, TIMESTAMP '{moment}' AS moment FROM ({body}) WHERE {good}")
+    live = " UNION ALL ".join(states)
+    times = ", ".join(f"(TIMESTAMP '{m}')" for m in MOMENTS)
+    grid = f"(SELECT DISTINCT {key} AS k FROM ({live})) u CROSS JOIN (VALUES {times}) t(m)"
+    full = f"(SELECT l.* EXCLUDE ({key}, moment), u.k AS {key}, t.m AS moment, l.{key} IS NULL AS missing FROM {grid} LEFT JOIN ({live}) l ON l.{key} = u.k AND l.moment = t.m)"
+    tracked = [c for c in JOINED_COLUMNS[name] if c != key]
+    audits = ["pipeline_run_id", "source_table", "processed_at", "masking_status"]
+    return compose(scd2_sql(full, key, tracked, audits, "moment", "missing", "moment"))
+
+
+JOINED_COLUMNS = {
+    "arr_banking_arrangement": [c for c, _, _ in BANKING_ACCOUNT + BANKING_BALANCE],
+    "ip_individual": [c for c, _, _ in INDIVIDUAL_CUSTOMER + INDIVIDUAL_PREFERENCE + INDIVIDUAL_ADDRESS] + ["full_name", "name_token"],
+}
+for _name in JOINED_COLUMNS:
+    register(
+        f"joined_history_{_name}",
+        (lambda name: lambda spark, sf_dir: warehouse(spark, sf_dir).joined_history(name, MOMENTS))(_name),
+        _joined_sql(_name),
+    )
 for _name in ENTITIES:
     register(f"quarantine_{_name}", _failures(_name), _failures_sql(_name))
 for _name in PRODUCTS:

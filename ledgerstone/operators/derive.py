@@ -29,6 +29,11 @@ def days_open(start: Column, end: Column, as_of: datetime) -> Column:
     return F.datediff(F.coalesce(end.cast("date"), F.lit(as_of.date())), start.cast("date"))
 
 
+def overdue(deadline: Column, done: Column, as_of: datetime) -> Column:
+    """Still open after its deadline. Whether it was late when it closed is another, stored fact."""
+    return done.isNull() & F.coalesce(deadline < F.lit(as_of).cast("timestamp"), F.lit(False))
+
+
 def first_like(column: Column, patterns: Sequence[tuple[str, str]], otherwise: str | None = None) -> Column:
     """Value of the first LIKE pattern that matches. ``_`` stands for any one character."""
     chain = F.lit(otherwise).cast("string")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerstone.operators.history import OPERATION
+from ledgerstone.operators.history import OPERATION, scd2_from_snapshots
 from ledgerstone.operators.quality import ERROR, PRE_TRANSFORM, compile_rules, quarantined, required_rules
 from ledgerstone.plans import silver
 from ledgerstone.plans.contracts import SILVER_CONTRACTS, SOURCE_CONTRACTS
@@ -76,6 +76,23 @@ class Warehouse:
             return self.silver(name)
         return self._once("history", name, lambda: silver.publish(name, self.changes(name)))
 
+    def joined_history(self, name: str, moments: Sequence[datetime]) -> DataFrame:
+        """Type 2 history of a joined entity from its complete state at each moment.
+
+        A key that a later state lacks, because its source row is gone or no
+        longer passes, closes at that moment.
+        """
+        snapshots = []
+        for moment in moments:
+            limit = F.lit(moment).cast("timestamp")
+            then = Warehouse(
+                lambda source, limit=limit: self.sources(source).where(F.col("_ingested_at") <= limit),
+                self.as_of,
+                self.token_key,
+            )
+            snapshots.append((moment, then.changes(name)))
+        return scd2_from_snapshots(snapshots, silver.ENTITIES[name].keys)
+
     def dated(self, name: str) -> DataFrame:
         """Rows that carry every date of an entity's history.
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from ledgerstone.sources import landing, registry
 from ledgerstone.sources.envelope import operation
 from ledgerstone.sources.rescue import RESCUED
 
@@ -97,6 +99,25 @@ def manifest_rows(source: DataFrame, ingested_at: Column | None = None) -> DataF
     return source.select("*", *_file_columns(), now.alias("_ingested_at"))
 
 
+def tables(
+    spark: SparkSession, root: str, records: Mapping[str, StructType], streaming: bool = False, ingested_at: Column | None = None
+) -> dict[str, DataFrame]:
+    """One Bronze frame per registered data set whose record schema is given."""
+    frames = {}
+    for table in registry.bronze_tables():
+        kind, _, dataset = table.partition("_")
+        if dataset not in records:
+            continue
+        path, record = registry.landing_path(root, kind, dataset), records[dataset]
+        if kind == "file":
+            frames[table] = file_rows(landing.csv_rows(spark, path, record.fieldNames(), streaming), dataset, ingested_at)
+        elif kind == "cdc":
+            frames[table] = cdc_rows(landing.json_lines(spark, path, landing.cdc_schema(record), streaming), dataset, ingested_at)
+        else:
+            frames[table] = event_rows(landing.json_lines(spark, path, landing.event_schema(record), streaming), dataset, ingested_at)
+    return frames
+
+
 def _refused(frame: DataFrame, kind: str, dataset: Column, reason: Column, data: Column, file: Column, batch: Column, at: Column) -> DataFrame:
     return frame.select(
         F.lit(kind.upper()).alias("source_type"),

@@ -43,7 +43,11 @@ def inserts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], moment: str = "processed_at", delay: str = DEDUPLICATION_WATERMARK) -> DataFrame:
-    """Drop repeated deliveries of a key within the watermark; state older than it is evicted."""
+    """Drop repeated deliveries of a key within the watermark; state older than it is evicted.
+
+    Rows that arrive later than the watermark are not taken in, so ``moment`` must
+    be the load time, which rises with arrival; a full replay runs as one batch.
+    """
     return stream.withWatermark(moment, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

@@ -127,3 +127,12 @@ def test_cdc_classification(spark, value, status):
 
 def test_slug(values):
     assert values(envelope.slug, ["A.B c", "__x__", "!!", "é"]) == ["a__b__c", "x", "unknown_dataset", "unknown_dataset"]
+
+
+def test_registered_tables_fan_out(spark, tmp_path):
+    write_lines(tmp_path / "cdc" / registry.CDC_DATASETS["banking_payees"] / "a.jsonl", [cdc_line(1)])
+    (tmp_path / "file" / "energy_plans").mkdir(parents=True)
+    (tmp_path / "file" / "energy_plans" / "p.csv").write_text("id,amount\n9,1\n")
+    frames = bronze.tables(spark, str(tmp_path), {"banking_payees": RECORD, "energy_plans": RECORD})
+    assert {n: f.first().id for n, f in frames.items()} == {"cdc_banking_payees": "1", "file_energy_plans": "9"}
+    assert bronze.tables(spark, str(tmp_path), {"banking_payees": RECORD}, streaming=True)["cdc_banking_payees"].isStreaming

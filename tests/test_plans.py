@@ -161,3 +161,9 @@ def test_context_codes(spark):
     )
     assert [r.record_key for r in audit.context_identity(context).collect()] == ["x"]
     assert audit.context_codes(context, "ORGANISATION", "B").count() == 1 and audit.context_codes(context, "ORGANISATION", "A").count() == 0
+
+
+def test_overdue(spark):
+    rows = spark.createDataFrame([("2024-01-01", None), ("2024-03-01", None), ("2024-01-01", "2024-01-05")], "due string, done string")
+    got = rows.select(derive.overdue(F.col("due").cast("timestamp"), F.col("done"), datetime(2024, 2, 1)).alias("o")).collect()
+    assert [r.o for r in got] == [True, False, False]
