@@ -136,3 +136,9 @@ def test_joins_with_missing_and_hot_keys(spark):
     assert {r.id for r in orphans(left, right, [("k", "k")]).collect()} == want
     with pytest.raises(ValueError):
         salted_join(left, right, ["k"], "full")
+
+
+def test_top_rows_are_limited_below_the_shuffle(spark):
+    frame = spark.createDataFrame(changes(50, 6), SCHEMA)
+    plan = ordered.latest_by(frame, ["k"], ["_sequence_ts", "_source_lsn"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
