@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstone.llm import line_dedup, packing, suffix_dedup
+from ledgerstone.llm import line_dedup, ngram_join, packing, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,8 @@ ORACLES["op4_line_dedup"] = line_dedup.ORACLE
 @query
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
