@@ -108,20 +108,26 @@ _is_blank = np.zeros(256, bool)
 _is_blank[list(BLANKS)] = True
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words between white space: (hash with A-Z folded, first byte, end, document) of each, in order."""
+def word_spans(data: np.ndarray, at: np.ndarray, blank: np.ndarray = _is_blank) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, document) of each word between blank bytes, in order."""
     if len(data) == 0:
         none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none, none, none
-    solid = ~_is_blank[data]
+        return none, none, none
+    solid = ~blank[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     begins, ends = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1] | edge[1:-1]
     ends[:-1] &= ~solid[1:] | edge[1:-1]
     first, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return first, end, np.searchsorted(at, first, "right") - 1
+
+
+def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words between white space: (hash with A-Z folded, first byte, end, document) of each, in order."""
+    first, end, doc = word_spans(data, at)
     prefix, down = rolling(data, fold=True)
-    return mixed((prefix[end] - prefix[first]) * down[first]), first, end, np.searchsorted(at, first, "right") - 1
+    return mixed((prefix[end] - prefix[first]) * down[first]), first, end, doc
 
 
 def shingles(word: np.ndarray, k: int) -> np.ndarray:
@@ -175,4 +181,15 @@ def sums(edges: DataFrame) -> tuple:
 
 
 def crc_of(column: Column) -> Column:
+    """CRC-32 of a value as text."""
     return F.crc32(column.cast("string").cast("binary"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """(doc_id, label, text) of at most ``rows`` labelled documents, those with the smallest hashes of doc_id.
+
+    The bound is a number of rows, so the ids may be broadcast whatever the input's size.
+    """
+    picked = chosen(labels, "doc_id", label).where(f"doc_id IS NOT NULL AND `{label}` IS NOT NULL").select("doc_id", F.col(label).cast("int").alias("label"))
+    ids = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+    return chosen(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")

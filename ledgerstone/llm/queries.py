@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstone.llm import line_dedup, ngram_join, packing, suffix_dedup
+from ledgerstone.llm import line_dedup, ngram_join, packing, quality, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
