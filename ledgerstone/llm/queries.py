@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstone.llm import line_dedup, ngram_join, packing, quality, suffix_dedup
+from ledgerstone.llm import line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,8 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
