@@ -8,7 +8,7 @@ strongest link to toxic ones enter the model. That table and the sample's rows o
 are all that the driver sees, and both have fixed bounds.
 
 Severity has four grades. Grade 0 is a clean document. A toxic one has grade 1, 2 or 3
-by how dense its marked words are, cut at the sample's terciles. One weight vector
+by how many marked features it holds, cut at the sample's terciles. One weight vector
 serves all grades: P(severity >= g) = sigmoid(w x - cut_g) with ordered cuts. The result
 is the expected severity, the sum of the three probabilities, and a document is toxic
 where P(severity >= 1) is at least ``THRESHOLD``.
@@ -38,7 +38,7 @@ BEGINNINGS = (3, 4, 5, 6, 7)
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_Z = 3, 0.5, 3.0
 THRESHOLD = 0.5
 GRADES = 3
-STEPS, RATE, SHRINK = 600, 0.05, 1e-5
+STEPS, RATE, SHRINK = 600, 0.1, 1e-6
 
 _apart = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -136,24 +136,22 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, m
         for part, data, at in text_slices(batches):
             doc, place = blank.held(data, at)
             bound = np.searchsorted(doc, np.arange(len(at)))
-            words_of = np.bincount(word_spans(data, at, _apart)[2], minlength=len(at) - 1)
             held = pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(place.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(words_of), held], ["doc_id", "label", "words", "held"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), held], ["doc_id", "label", "held"])
 
-    rows = sample.mapInArrow(measured, "doc_id long, label int, words long, held array<int>").limit(2 * sample_rows).toArrow().sort_by("doc_id")
+    rows = sample.mapInArrow(measured, "doc_id long, label int, held array<int>").limit(2 * sample_rows).toArrow().sort_by("doc_id")
     held = rows.column("held").combine_chunks()
     count_of = held.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    label, words_of = rows.column("label").to_numpy(), rows.column("words").to_numpy()
-    return fit(np.repeat(np.arange(len(label)), count_of), held.flatten().to_numpy().astype(np.int64), graded_labels(label, count_of, words_of), known)
+    label = rows.column("label").to_numpy()
+    return fit(np.repeat(np.arange(len(label)), count_of), held.flatten().to_numpy().astype(np.int64), graded_labels(label, count_of), known)
 
 
-def graded_labels(label: np.ndarray, held: np.ndarray, words_of: np.ndarray) -> np.ndarray:
-    """Ordered grades of labelled documents: 0, or by tercile of the density of marked features."""
-    density = held / np.maximum(words_of, 1)
+def graded_labels(label: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Ordered grades of labelled documents: 0, or by tercile of the number of marked features."""
     bad = label > 0
     grade = np.zeros(len(label), np.int64)
     if bad.any():
-        grade[bad] = 1 + np.searchsorted(np.quantile(density[bad], [1 / 3, 2 / 3]), density[bad], "right")
+        grade[bad] = 1 + np.searchsorted(np.quantile(held[bad], [1 / 3, 2 / 3]), held[bad], "right")
     return grade
 
 
