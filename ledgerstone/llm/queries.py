@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstone.llm import line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
+from ledgerstone.llm import decontamination, licences, line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+ORACLES["op3_licences"] = licences.ORACLE
+ORACLES["op8_decontamination"] = decontamination.ORACLE

@@ -7,14 +7,13 @@ Whole-corpus suffix sorting is cut into shards that never miss a match:
    windows can only match where their anchors' hashes (keys) are equal. Consecutive
    windows with one anchor form a fragment; a fragment whose key occurs once in the
    corpus holds no repeat and ends there.
-2. Of equal fragments two copies are enough to show that they repeat, so of each
-   distinct fragment at most two go on, and a passage that a third of all rows hold
-   travels as one row per distinct surrounding.
+2. Equal fragments go on as one with their count, so a passage that a third of all rows
+   hold travels as one row per distinct surrounding.
 3. Fragments are dealt to shards by key. Each shard is one text, 0xFF (never in UTF-8)
    behind each fragment. Its suffix array is made by induced sorting: suffixes are
    classified, the leftmost smaller ones sorted by their substrings, recursively, and
    all others induced from them. The permuted longest common prefixes then say which
-   windows repeat.
+   suffixes share ``length`` bytes, and their fragments' counts how often these occur.
 4. A key with more than ``MAX_DISTINCT`` distinct fragments (the border of a very common
    passage, where every surrounding differs) would outgrow a shard; its windows are
    counted one by one by a 128-bit hash, which spreads them over all tasks.
@@ -38,9 +37,9 @@ from pyspark.sql.window import Window
 
 from ledgerstone.llm.common import chosen, mixed, rolling, stored, text_slices
 
-LENGTH, GRAM = 200, 64
+LENGTH, GRAM = 200, 32
 #: Bytes of fragments that one task sorts at a time.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 MAX_DISTINCT = 4096
 GAP = 255
 
@@ -155,30 +154,34 @@ def _induced_by_bucket(t: np.ndarray, small: np.ndarray, lms: np.ndarray, head:
 def _induced_one_by_one(t: np.ndarray, small: np.ndarray, lms: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
     """The same for large alphabets, where buckets hold a few suffixes each."""
     n = len(t)
-    text, less, sa = t.tolist(), small.tolist(), [-1] * n
-    fill = (tail - 1).tolist()
-    for i in reversed(lms.tolist()):
-        c = text[i]
-        sa[fill[c]] = i
-        fill[c] -= 1
+    sa = np.full(n, -1, np.int64)
+    symbol = t[lms]  # in order, so each bucket's ones stand together at its end
+    last = np.searchsorted(symbol, symbol, "right")
+    sa[tail[symbol] - (last - np.arange(len(lms)))] = lms
+    sa = sa.tolist()
+    # symbol of the suffix one before, if it is of the kind that is placed; -1 for none, and for empty places
+    before = np.full(n + 1, -1, np.int64)
+    before[1:n] = np.where(small[:-1], -1, t[:-1])
+    larger = before.tolist()
+    before[1:n] = np.where(small[:-1], t[:-1], -1)
+    smaller = before.tolist()
     fill = head.tolist()
-    j = n - 1
-    c = text[j]
-    sa[fill[c]] = j  # the last suffix is larger than the end and first of its bucket
+    c = int(t[n - 1])
+    sa[fill[c]] = n - 1  # the last suffix is larger than the end and first of its bucket
     fill[c] += 1
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not less[j]:
-            c = text[j]
-            sa[fill[c]] = j
-            fill[c] += 1
+    for j in sa:  # meets what it places further on
+        c = larger[j]
+        if c >= 0:
+            i = fill[c]
+            sa[i] = j - 1
+            fill[c] = i + 1
     fill = (tail - 1).tolist()
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and less[j]:
-            c = text[j]
-            sa[fill[c]] = j
-            fill[c] -= 1
+    for j in reversed(sa):
+        c = smaller[j]
+        if c >= 0:
+            i = fill[c]
+            sa[i] = j - 1
+            fill[c] = i - 1
     return np.array(sa, np.int32)
 
 
@@ -192,39 +195,52 @@ def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
     lms = np.flatnonzero(small & np.r_[False, ~small[:-1]]).astype(np.int32)
     tail = np.cumsum(np.bincount(t, minlength=symbols))
     head = np.r_[0, tail[:-1]]
-    induced = _induced_by_bucket if n > 48 * symbols else _induced_one_by_one
     if len(lms) > 1:
-        # one induction sorts the substrings between leftmost smaller suffixes
-        sa = induced(t, small, lms[np.argsort(t[lms], kind="stable")], head, tail)
-        is_lms = np.zeros(n, bool)
-        is_lms[lms] = True
-        ranked = sa[is_lms[sa]]
-        name = _names(t, small, lms, ranked)
-        if name[-1] + 1 < len(lms):
-            reduced = np.empty(n, np.int32)
-            reduced[ranked] = name
-            order = suffix_array(reduced[lms], int(name[-1]) + 1)
-            lms = lms[order]
+        name, different = _names(t, small, lms, symbols)
+        if different < len(lms):
+            lms = lms[suffix_array(name, different)]
         else:
+            ranked = np.empty_like(lms)
+            ranked[name] = lms
             lms = ranked
+    induced = _induced_by_bucket if n > 512 * symbols else _induced_one_by_one
     return induced(t, small, lms, head, tail)
 
 
-def _names(t: np.ndarray, small: np.ndarray, lms: np.ndarray, ranked: np.ndarray) -> np.ndarray:
-    """Names of sorted substrings: equal ones share one. A substring ends with the next leftmost smaller symbol."""
-    n = len(t)
-    end = np.empty(n, np.int64)
-    end[lms] = np.r_[lms[1:].astype(np.int64), n]
-    a, b = ranked[:-1].astype(np.int64), ranked[1:].astype(np.int64)
-    size = end[a] - a
-    same = (size == end[b] - b) & (end[a] < n) & (end[b] < n)
-    at, step = np.flatnonzero(same), 0
-    while len(at):  # compare symbol by symbol, only pairs still equal
-        equal = t[a[at] + step] == t[b[at] + step]
-        same[at[~equal]] = False
-        at = at[equal & (size[at] > step)]
-        step += 1
-    return np.r_[0, np.cumsum(~same)]
+def _names(t: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int) -> tuple[np.ndarray, int]:
+    """Ranks of the substrings from each leftmost smaller symbol to the next, equal ones alike, and their number.
+
+    Symbols are compared with their types behind them, so no substring is the beginning
+    of another. As many as fit a 64-bit key are compared at a time, later only among
+    those that are still alike.
+    """
+    bits = int(2 * symbols + 1).bit_length()
+    width = 64 // bits
+    typed = np.zeros(len(t) + width, np.uint64)
+    typed[: len(t)] = 2 * t.astype(np.uint64) + small + 1  # 0 stands behind the end
+    start = lms.astype(np.int64)
+    size = np.r_[start[1:] + 1, len(t)] - start
+    rank = np.zeros(len(lms), np.int64)
+    live, step = np.arange(len(lms)), 0
+    while len(live):
+        key = np.zeros(len(live), np.uint64)
+        for i in range(width):
+            inside = size[live] > step + i
+            key = (key << np.uint64(bits)) | np.where(inside, typed[np.minimum(start[live] + step + i, len(t))], np.uint64(0))
+        order = np.argsort(key, kind="stable") if step == 0 else np.lexsort((key, rank[live]))
+        key, group = key[order], rank[live][order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (group[1:] != group[:-1])]
+        at = np.flatnonzero(new)
+        opened = np.r_[True, group[1:] != group[:-1]]
+        base = np.maximum.accumulate(np.where(opened, np.arange(len(group)), 0))
+        first = np.repeat(at, np.diff(np.r_[at, len(group)]))
+        alike = np.repeat(np.diff(np.r_[at, len(group)]) > 1, np.diff(np.r_[at, len(group)]))
+        rank[live[order]] = group + first - base
+        live = live[order][alike]
+        step += width
+        live = live[size[live] > step]
+    _, name = np.unique(rank, return_inverse=True)
+    return name.astype(np.int32), int(name.max()) + 1
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,23 +275,28 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.nda
     return length[origin] - (at - origin), before
 
 
-def repeated_windows(pieces: list[bytes], length: int) -> list[tuple[list[int], list[int]]]:
-    """For each piece the runs (first, end) of window starts whose string occurs at two places of all pieces."""
+def repeated_windows(pieces: list[bytes], copies: list[int], length: int) -> list[tuple[list[int], list[int]]]:
+    """For each piece the runs (first, end) of window starts whose string occurs at two places.
+
+    Suffixes that share ``length`` bytes stand together in the suffix array; a piece that
+    stands for several equal ones counts as often.
+    """
     if not pieces:
         return []
     gap = bytes([GAP])
     t = np.frombuffer(gap.join(pieces) + gap, np.uint8)
-    common, before = permuted_prefixes(t, suffix_array(t, 256))
-    long = np.flatnonzero(common >= length)
-    hit = np.zeros(len(t) + 1, np.int8)
-    hit[long] = 1
-    hit[before[long]] = 1
-    out, start = [], 0
-    for piece in pieces:
-        windows = hit[start : start + max(0, len(piece) - length + 1)]
+    sa = suffix_array(t, 256)
+    common, _ = permuted_prefixes(t, sa)
+    group = np.cumsum(common[sa] < length)
+    sizes = np.array([len(p) + 1 for p in pieces])
+    counts = np.repeat(np.minimum(copies, 2), sizes)
+    hit = np.empty(len(t), bool)
+    hit[sa] = (np.bincount(group, counts[sa]) > 1)[group]
+    out = []
+    for start, size in zip((np.cumsum(sizes) - sizes).tolist(), sizes.tolist()):
+        windows = hit[start : start + max(0, size - length)].astype(np.int8)
         edge = np.flatnonzero(np.diff(np.r_[0, windows, 0]))
         out.append((edge[::2].tolist(), edge[1::2].tolist()))
-        start += len(piece) + 1
     return out
 
 
@@ -319,11 +340,13 @@ def _sorted_shard(length: int):
         copies, bytes_of = table.column("copies").to_pylist(), table.column("piece").to_pylist()
         first: dict[tuple, int] = {}
         pieces: list[bytes] = []
+        counts: list[int] = []
         for name, many, piece in zip(names, copies, bytes_of):
             if name not in first:  # a repeated row brings its fragments again
                 first[name] = len(pieces)
-                pieces += [piece] * min(many, 2)
-        runs = repeated_windows(pieces, length)
+                pieces.append(piece)
+                counts.append(many)
+        runs = repeated_windows(pieces, counts, length)
         rows = [(key, whole, a, b) for (key, whole), i in first.items() for a, b in zip(*runs[i])]
         keys, wholes, starts, ends = zip(*rows) if rows else ((), (), (), ())
         return pa.table({"key": pa.array(keys, pa.int64()), "whole": pa.array(wholes, pa.int64()), "run": pa.array(starts, pa.int32()), "run_end": pa.array(ends, pa.int32())})
@@ -355,7 +378,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard
     distinct = found.groupBy("key", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_hash", "first", "windows")).alias("at"))
     per_key = distinct.groupBy("key").agg(F.count("*").alias("distinct"))
     sample = stored(distinct.join(per_key, "key"), "distinct-fragments")
-    size = sample.agg(F.sum((F.col("at.windows") + length) * F.least("copies", F.lit(2)))).first()[0] or 0
+    size = sample.agg(F.sum(F.col("at.windows") + length)).first()[0] or 0
     shards = max(1, math.ceil(size / shard_bytes))
     listed = sample.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("key", "whole", "copies", "distinct", "at.first", "at.windows")).alias("listed"))
     located = _located(docs)
