@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,6 +40,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are stored; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def chosen(frame: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that others, whatever they are called, never meet derived ones."""
     return frame.select(*[F.col(f"`{n}`") for n in names])

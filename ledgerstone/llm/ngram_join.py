@@ -14,7 +14,8 @@ two sets holds changes one part, so of more than D parts one stays equal:
 2. Documents with an equal part meet in a bucket. Each is paired only with the bucket's
    smallest document: a group of near copies costs one pair a document, not its square.
 3. The Hamming distance of two parity sketches is at most the sets' difference, so pairs
-   beyond D go; the rest is verified on the exact sets, and links become components.
+   beyond D go; the rest is verified on the exact sets, and links become components
+   (first one pair a document, then those that still join two components).
 4. What is left are pairs of different components that meet in a bucket away from its
    smallest document. They are joined in the bucket, sketches compared inside the join,
    verified, and join their components.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from ledgerstone.llm.common import chosen, components, mixed, shingle_sets, stored, text_slices
+from ledgerstone.llm.common import chosen, components, mixed, release, shingle_sets, stored, text_slices
 
 K = 5
 #: Linked: LOW * union <= HIGH * intersection.
@@ -113,61 +114,85 @@ def may_link(a: str, b: str) -> Column:
     return (LOW * F.greatest(x, y) <= HIGH * F.least(x, y)) & ((HIGH + LOW) * distance <= (HIGH - LOW) * (x + y))
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose exact sets are similar enough. Only documents that stand in a pair are cut into shingles."""
+def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of documents that stand in a pair."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return _texts(docs).join(wanted, "doc_id", "left_semi")
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, at in text_slices(batches):
-            sets = pa.array([s.tobytes() for s in shingle_sets(data, at, K)], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0), sets], ["doc_id", "hashes"])
+
+def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose exact sets are similar enough."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(bool(both) and LOW * (len(x) + len(y) - both) <= HIGH * both)
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            for i in range(0, batch.num_rows, 64):
+                few = batch.slice(i, 64)
+                x, y = ([s for _, data, at in text_slices([few], c) for s in shingle_sets(data, at, K)] for c in (2, 3))
+                linked = []
+                for p, q in zip(x, y):
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    linked.append(bool(both) and LOW * (len(p) + len(q) - both) <= HIGH * both)
+                yield few.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    sets = _texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(emit, "doc_id long, hashes binary")
-    first = pairs.join(sets.withColumnsRenamed({"doc_id": "a", "hashes": "x"}), "a")
-    return first.join(sets.withColumnsRenamed({"doc_id": "b", "hashes": "y"}), "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    first = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "x"}), "a")
+    return first.join(texts.withColumnsRenamed({"doc_id": "b", "text": "y"}), "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def linked(docs: DataFrame) -> DataFrame:
     """Per row doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
+    spark = docs.sparkSession
     known = stored(facts(docs), "facts")
     of_id = known.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).distinct()
-    same_set = Window.partitionBy("n", "f1", "f2")
-    classed = of_id.withColumn("rep", F.min("doc_id").over(same_set))
+    same_set = of_id.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
+    classed = of_id.join(same_set, ["n", "f1", "f2"])
     reps = stored(classed.where("doc_id = rep").drop("rep"), "reps")
-    copies = stored(classed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "copies")
+    copies = classed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     in_bucket = Window.partitionBy("sig")
     met = buckets(docs).withColumns({"size": F.count("*").over(in_bucket), "hub": F.min("doc_id").over(in_bucket)}).where("size > 1").drop("size")
     met = stored(met, "buckets")
+    release(spark)
     near = met.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    # a copy that is no representative is linked by its copy, and so is any pair it stands in
-    near = _both_known(near, reps)
-    links = stored(verified(docs, stored(near, "pairs")).unionByName(copies), "links")
-    first = stored(components(links), "components")
+    near = stored(_both_known(near, reps), "pairs")
+    texts = stored(texts_of(docs, near), "texts")
+    release(spark)
+    # one hub a document first; the other hubs only where that left two components
+    one = near.groupBy("a").agg(F.min("b").alias("b"))
+    first = stored(components(stored(verified(texts, one).unionByName(copies), "links")), "components")
+    rest = _with_component(near, first).where("ca <> cb").select("a", "b")
+    first = extended(first, stored(verified(texts, rest), "links"))
 
     grouped = (
-        met.select("sig", "doc_id").join(reps.select("doc_id", "n").dropDuplicates(["doc_id"]), "doc_id")
+        met.select("sig", "doc_id").join(reps.select("doc_id").distinct(), "doc_id")
         .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
-        .withColumns({"low": F.min("component").over(in_bucket), "high": F.max("component").over(in_bucket)})
-        .where("low < high").select("sig", "doc_id", "component")
     )
-    apart = grouped.join(reps, "doc_id")
+    mixed_buckets = grouped.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
+    apart = stored(grouped.join(mixed_buckets, "sig"), "apart").join(reps, "doc_id")
+    release(spark)
     pairs = (
         apart.alias("x").join(apart.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     )
-    late = stored(verified(docs, stored(pairs, "pairs")), "links")
-    return _with_components(known, first, late)
+    pairs = stored(pairs, "pairs").join(near, ["a", "b"], "left_anti").join(near.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    pairs = stored(pairs, "pairs")
+    last = extended(first, stored(verified(texts_of(docs, pairs), pairs), "links"))
+    node = F.coalesce("component", "doc_id").alias("component_id")
+    return known.select("doc_id", F.col("n").alias("n_shingles")).join(last.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", node)
+
+
+def _with_component(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    ends = pairs.join(first.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(first.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    return ends.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
+
+
+def extended(first: DataFrame, late: DataFrame) -> DataFrame:
+    """Components (node, component) with further links; a component's own smallest node is not listed."""
+    if late.isEmpty():
+        return first
+    merged = stored(components(_with_component(late, first).select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "merged")
+    moved = first.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    return stored(moved.select("node", F.coalesce("to", "component").alias("component")).unionByName(merged), "components")
 
 
 def _both_known(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -176,15 +201,6 @@ def _both_known(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.where(may_link("x", "y")).select("a", "b").distinct()
 
 
-def _with_components(known: DataFrame, first: DataFrame, late: DataFrame) -> DataFrame:
-    """Components of the links found first, merged by those found late."""
-    node = F.coalesce("component", "doc_id")
-    result = known.select("doc_id", F.col("n").alias("n_shingles")).join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", node.alias("component_id"))
-    ends = late.join(first.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(first.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-    merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    return result.join(merged.select(F.col("node").alias("component_id"), "component"), "component_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("component_id"))
-
-
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows that stay when one document of each component does: the one that gives it its id, once.
 
