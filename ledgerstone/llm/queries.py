@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstone.llm import decontamination, licences, line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
+from ledgerstone.llm import curve_search, decontamination, licences, line_dedup, ngram_join, packing, passages, quality, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_licences"] = licences.ORACLE
 ORACLES["op8_decontamination"] = decontamination.ORACLE
+
+
+@query
+def op5_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicates(table(spark, sf_dir, "documents"))
