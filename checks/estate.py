@@ -113,7 +113,7 @@ def _customers(ts: str, prefix: str, control: str) -> str:
       CASE WHEN c_acctbal < 0 THEN c_name ELSE replace(c_name, '#', '.') || '@Example.com' END AS email,
       CASE WHEN c_acctbal > 9900 THEN '1'
            ELSE '04-' || {text('10000000 + c_custkey')} END AS phoneNumber,
-      'f' AS gender, CAST(16 + c_nationkey * 2 AS INT) AS age, 'st' || {text('c_nationkey')} AS state,
+      'f' AS gender, CASE WHEN c_custkey % 7 <> 3 THEN CAST(16 + c_nationkey * 2 AS INT) END AS age, 'st' || {text('c_nationkey')} AS state,
       '2015-01-01 00:00:00' AS createdAt, {second(ts)} AS lastUpdateTime,
       CAST(NULL AS STRING) AS middleNames, {prefix} AS prefix, {text('c_nationkey')} AS occupationCode,
       '1' AS occupationCodeVersion,
@@ -220,7 +220,7 @@ def _support() -> str:
 
 def _organisations(ts: str, code: str, control: str) -> str:
     return f"""
-    SELECT {party('s_suppkey')} AS global_id, {organisation('s_suppkey')} AS organisationId,
+    SELECT {party('s_suppkey')} AS global_id, CASE WHEN s_suppkey % 13 <> 5 THEN {organisation('s_suppkey')} END AS organisationId,
       s_name AS businessName, s_name || ' Ltd' AS legalName, CAST(NULL AS STRING) AS shortName,
       'company' AS organisationType, {code} AS industryCode, '2006' AS industryCodeVersion, 'au' AS registeredCountry,
       s_acctbal > 5000 AS isACNCRegistered, 'owner' AS agentRole,
@@ -362,8 +362,8 @@ SOURCES: dict[str, str] = {
       {uuid('accepted', "l_orderkey * 100 + l_linenumber")} AS loanId,
       CASE WHEN l_tax < 0.001 THEN ' ' ELSE 'current' END AS loanStatus, l_returnflag AS purpose, ' 36 months' AS term, 'A' AS grade,
       {day('l_shipdate')} AS issuedAt, {money('l_extendedprice')} AS loanAmount, 'member' AS memberId, '1' AS empLength,
-      'OWN' AS homeOwnership, '1' AS annualIncome, 'ok' AS verification_status, 'one' AS application_type,
-      '700' AS fico_range_low, 'N' AS hardship_flag, 'N' AS debt_settlement_flag, {loaded('l_shipdate')}
+      'OWN' AS homeOwnership, CASE WHEN l_partkey % 3 = 0 THEN '1' END AS annualIncome, 'ok' AS verification_status, 'one' AS application_type,
+      CASE WHEN l_partkey % 5 = 0 THEN '700' END AS fico_range_low, 'N' AS hardship_flag, 'N' AS debt_settlement_flag, {loaded('l_shipdate')}
     FROM {{lineitem}} WHERE l_linestatus = 'F'""",
     "rejected_applications": f"""
     SELECT CASE WHEN o_totalprice < 2000 THEN 'none' ELSE {party('o_custkey')} END AS global_id,

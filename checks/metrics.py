@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from checks.catalogue import register
 from checks.estate import AS_OF
 from checks.oracle import TODAY, compose
@@ -58,14 +60,23 @@ def _sql(view, dimensions) -> str:
     bare = re.compile(r"(?<![\w.'])(verification_status|current_stage|pending_action_party|is_active|customer_id|organisation_id)\b(?!\.)")
     if view.joins:
         picks = [bare.sub(r"s.\1", p.rsplit(" AS ", 1)[0]) + " AS " + p.rsplit(" AS ", 1)[1] for p in picks]
-    return compose(f"SELECT {', '.join(picks)} FROM gold_{view.source} s{joins} GROUP BY {', '.join(str(i + 1) for i in range(len(dimensions)))}")
+    return compose(f"SELECT {', '.join(picks)} FROM gold_{view.source} s{joins}{_owned(view)} GROUP BY {', '.join(str(i + 1) for i in range(len(dimensions)))}")
+
+
+def _owned(view) -> str:
+    return f" WHERE s.{view.owner} = (SELECT min({view.owner}) FROM gold_{view.source})" if view.owner else ""
 
 
 def _query(view, dimensions):
     shared = SHARED if any(j.alias == "ctx" for j in view.joins) else frozenset()
-    return lambda spark, sf_dir: metric_query(
-        view, warehouse(spark, sf_dir, shared).gold, dimensions, list(view.measures), AS_OF
-    )
+
+    def run(spark, sf_dir):
+        gold = warehouse(spark, sf_dir, shared).gold
+        # a customer's view needs a customer: the first one of the data
+        principal = gold(view.source).agg(F.min(view.owner)).first()[0] if view.owner else None
+        return metric_query(view, gold, dimensions, list(view.measures), AS_OF, principal=principal)
+
+    return run
 
 
 for _name, _view in METRIC_VIEWS.items():

@@ -12,7 +12,8 @@ import re
 
 from checks.estate import AS_OF, CHECK_KEY, oracle_source
 from ledgerstone.operators.quality import ERROR, compile_rules
-from ledgerstone.plans.contracts import SILVER_CONTRACTS, SOURCE_CONTRACTS
+from checks.required import REQUIRED
+from ledgerstone.plans.contracts import SILVER_CONTRACTS
 from ledgerstone.plans.silver import (
     APPEND,
     BANKING_ACCOUNT,
@@ -134,7 +135,7 @@ def hard_rules(name: str) -> dict[str, str]:
 
 
 def complete(source: str) -> str:
-    need = [f'"{c}" IS NOT NULL' for c in SOURCE_CONTRACTS[source].required]
+    need = [f'"{c}" IS NOT NULL' for c in REQUIRED[source][1].split()]
     return " AND ".join(need) or "true"
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks.catalogue import register
-from checks.estate import AS_OF, TABLES, read
+from checks.estate import AS_OF, SOURCES, TABLES, read
 from checks.oracle import compose
 from checks.products import warehouse
+from checks.required import REQUIRED
 from ledgerstone.sources import bronze, envelope, landing, manifest, rescue
 
 # Change messages: broken text for tiny values, no table for errors, a tombstone for each large value.
@@ -206,13 +209,21 @@ register(
     CASE WHEN o_orderstatus = 'O' THEN 'orders-' || strftime(o_orderdate, '%Y%m%d') || 'T000000Z' ELSE 'orders_' || strftime(o_orderdate, '%Y%m%d') END AS _batch_id
     FROM orders""",
 )
-register(
-    "source_quarantine",
-    lambda s, d: warehouse(s, d).source_quarantine("customers").select(
-        "entity_name", "validation_stage", "record_key", "failed_rule_ids", "processed_at"
-    ),
-    compose(
-        f"""SELECT 'customers' AS entity_name, 'PRE_TRANSFORM' AS validation_stage, global_id AS record_key,
-        'SOURCE_PREFIX_REQUIRED' AS failed_rule_ids, TIMESTAMP '{AS_OF}' AS processed_at FROM src_customers WHERE prefix IS NULL"""
-    ),
-)
+SOURCES_USED = sorted(SOURCES)
+
+
+def _source_quarantine(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    columns = ["entity_name", "validation_stage", "record_key", "failed_rule_ids", "processed_at"]
+    return reduce(DataFrame.unionByName, [w.source_quarantine(s).select(*columns) for s in SOURCES_USED])
+
+
+def _refused(source: str) -> str:
+    key, fields = REQUIRED[source]
+    failed = ", ".join(f"CASE WHEN \"{f}\" IS NULL THEN 'SOURCE_{f.upper()}_REQUIRED' END" for f in fields.split())
+    lacks = " OR ".join(f'"{f}" IS NULL' for f in fields.split())
+    return f"""SELECT '{source}' AS entity_name, 'PRE_TRANSFORM' AS validation_stage, coalesce(CAST("{key}" AS VARCHAR), '') AS record_key,
+        concat_ws(',', {failed}) AS failed_rule_ids, TIMESTAMP '{AS_OF}' AS processed_at FROM src_{source} WHERE {lacks}"""
+
+
+register("source_quarantine", _source_quarantine, compose(" UNION ALL ".join(_refused(s) for s in SOURCES_USED)))

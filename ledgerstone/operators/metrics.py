@@ -71,7 +71,7 @@ def metric_query(
     """Group the view by ``dimensions`` and compute ``measures`` (none: the distinct groups).
 
     Only joins that a requested expression mentions are made. Views with an
-    owner column show a principal its own rows only.
+    owner column show a principal its own rows only, and are refused without one.
     """
     unknown = [d for d in dimensions if d not in view.dimensions] + [
         m for m in measures if m not in view.measures
@@ -83,8 +83,10 @@ def metric_query(
     wanted = {d: view.dimensions[d] for d in dimensions} | {m: view.measures[m] for m in measures}
     wanted = {name: expression.replace("{today}", today) for name, expression in wanted.items()}
 
+    if view.owner and principal is None:
+        raise ValueError(f"{view.name} shows a principal its own rows only; name the principal")
     frame = tables(view.source)
-    if view.owner and principal is not None:
+    if view.owner:
         frame = frame.where(F.col(view.owner) == principal)
     for join in view.joins:
         if not any(re.search(rf"\b{join.alias}\.", e) for e in wanted.values()):

@@ -382,7 +382,7 @@ SOURCE_CONTRACTS: dict[str, Contract] = {
         _source(
             "customers",
             "global_id",
-            "global_id customerId gender age state prefix occupationCodeVersion customerType",
+            "global_id customerId gender state prefix occupationCodeVersion customerType",
         ),
         _source(
             "kyc_records",
@@ -398,7 +398,7 @@ SOURCE_CONTRACTS: dict[str, Contract] = {
         _source(
             "organisations",
             "organisationId",
-            "organisationType industryCodeVersion registeredCountry isACNCRegistered agentRole",
+            "organisationId organisationType industryCodeVersion registeredCountry isACNCRegistered agentRole",
         ),
         _source("physical_addresses", "addressId", "addressId purpose addressUType state country"),
         _source("service_cases", "caseId", "caseId caseType status priority assignedTeam"),
@@ -422,8 +422,8 @@ SOURCE_CONTRACTS: dict[str, Contract] = {
         _source(
             "accepted_loans",
             "loanId",
-            "loanId memberId term grade empLength homeOwnership annualIncome verification_status"
-            " application_type loanStatus fico_range_low hardship_flag debt_settlement_flag",
+            "loanId memberId term grade empLength homeOwnership verification_status"
+            " application_type loanStatus hardship_flag debt_settlement_flag",
         ),
         _source(
             "banking_products",

@@ -60,6 +60,8 @@ def test_customer_views_show_less_and_only_own_rows(spark):
     assert [tuple(r) for r in got] == [("A1", 1)]
     with pytest.raises(KeyError):
         metric_query(view, lambda n: rows, ["Assigned Team"], [], AS_OF)
+    with pytest.raises(ValueError):  # no principal, no rows
+        metric_query(view, lambda n: rows, ["Application ID"], ["Application Count"], AS_OF)
 
 
 def test_unused_metric_joins_are_not_made(w):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerstone.operators import quality
 from ledgerstone.operators.quality import ERROR, WARNING, Contract, ContractError, Rule
+from checks.required import REQUIRED
 from ledgerstone.plans.contracts import SILVER_CONTRACTS, SOURCE_CONTRACTS
 
 NOW = datetime(2024, 2, 1)
@@ -95,6 +96,10 @@ def test_defects_are_repeatable(spark):
 
 def test_contracts_are_complete():
     assert len(SILVER_CONTRACTS) == 19 and len(SOURCE_CONTRACTS) == 32
+
+
+def test_required_fields_are_the_stated_ones():
+    assert {k: (" ".join(c.keys), " ".join(c.required)) for k, c in SOURCE_CONTRACTS.items()} == REQUIRED
     rules = [r for c in SILVER_CONTRACTS.values() for r in c.rules]
     assert (len(rules), sum(r.severity == ERROR for r in rules)) == (171, 149)
     for contract in SILVER_CONTRACTS.values():
