@@ -39,7 +39,7 @@ from ledgerstone.llm.common import chosen, mixed, rolling, stored, text_slices
 
 LENGTH, GRAM = 200, 32
 #: Bytes of fragments that one task sorts at a time.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 MAX_DISTINCT = 4096
 GAP = 255
 
@@ -256,8 +256,8 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.nda
     carried = (at > 0) & (before > 0)
     carried[carried] = t[at[carried] - 1] == t[before[carried] - 1]
     starts = np.flatnonzero(~carried)
-    padded = np.r_[t, np.zeros(8, t.dtype)]
-    eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    padded = np.r_[t.astype(np.uint8), np.zeros(8, np.uint8)]
+    eights = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)).view("<u8").ravel()
     length = np.zeros(n, np.int64)
     live = starts[before[starts] >= 0]
     step = 0
@@ -265,8 +265,9 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.nda
         x, y = live + step, before[live] + step
         inside = np.maximum(x, y) < n
         live, x, y = live[inside], x[inside], y[inside]
-        differ = eights[x] != eights[y]
-        agree = np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
+        differ = eights[x] ^ eights[y]
+        lowest = np.bitwise_count((differ & -differ) - np.uint64(1)) >> 3  # equal bytes before the first that differs
+        agree = np.where(differ == 0, 8, lowest)
         room = n - np.maximum(x, y)
         length[live] = step + np.minimum(agree, room)
         live = live[(agree == 8) & (room > 8)]
