@@ -200,9 +200,9 @@ for _family, _rules in (("r1_presence", R1), ("r2_ranges", R2), ("r3_time", R3),
 register(
     "rules_row_violations",
     lambda s, d: violations(
-        _rows(s, d), {n: {"type": n, **spec} for n, spec, _ in R1[:6]}, NOW
+        _rows(s, d), {n: {"type": n, **spec} for n, spec, _ in R1}, NOW
     ).select("k", "failed_rule_ids"),
-    f"""SELECT * FROM (SELECT k, concat_ws(',', {', '.join(f"CASE WHEN NOT coalesce({q}, false) THEN '{n}' END" for n, _, q in R1[:6])})
+    f"""SELECT * FROM (SELECT k, concat_ws(',', {', '.join(f"CASE WHEN NOT coalesce({q}, false) THEN '{n}' END" for n, _, q in R1)})
     AS failed_rule_ids FROM ({_ROWS.format(orders='orders')})) WHERE failed_rule_ids <> ''""",
 )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,16 +10,13 @@ from checks.catalogue import register
 from checks.estate import AS_OF, read
 from checks.operators import _EVENT_HISTORY, _HARD, _ORDER_RULES
 from checks.oracle import predicate
+from ledgerstone.session import shared_folder
 from ledgerstone.streaming import flows
 
 
 def _work_dir(spark) -> str:
     """A fresh folder below the cluster's shared checkpoint folder, or below /tmp in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    stamp = spark.sql("SELECT uuid()").first()[0]
-    return f"{shared}/stream-{stamp}"
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _stream(spark, sf_dir, table):

@@ -197,7 +197,10 @@ def _reference_set(s, t):
 def _delimited(s, t):
     parts = F.transform(F.split(_c(s), f"[{s.get('delimiter', ',')}]"), lambda x: F.trim(x))
     known = F.forall(parts, lambda x: x.isin(*s["values"]))
-    return _tolerant(known & F.size(parts).between(s.get("min_items", 1), s.get("max_items", 1_000_000)), _c(s))
+    for bound, fits in (("min_items", F.size(parts).__ge__), ("max_items", F.size(parts).__le__)):
+        if bound in s:
+            known = known & fits(s[bound])
+    return _tolerant(known, _c(s))
 
 
 # --- ranges, comparisons and formulas ---------------------------------------------

@@ -53,11 +53,17 @@ def settle(frame: DataFrame) -> DataFrame:
 
     Used for frames that several downstream products read. The folder is the one
     the cluster names in ``spark.checkpoint.dir``, so the result outlives a lost
-    executor; only where that is unset (tests) a scratch folder stands in.
+    executor. A local session may go without one and gets a scratch folder.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; refused on a cluster without one, where each machine has its own /tmp."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return shared or tempfile.mkdtemp(prefix="run-", dir="/tmp")

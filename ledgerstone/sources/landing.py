@@ -73,8 +73,8 @@ def raw_lines(spark, path: str, streaming: bool = False) -> DataFrame:
 
 
 def csv_rows(spark, path: str, columns: list[str], streaming: bool = False) -> DataFrame:
-    """CSV with a header, every column a string."""
-    return _reader(spark, streaming).schema(string_schema(columns)).options(**CSV_OPTIONS).csv(path)
+    """CSV with a header, every column a string. A file whose header names other columns, or in another order, is refused."""
+    return _reader(spark, streaming).schema(string_schema(columns)).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
 
 
 def manifests(spark, path: str, streaming: bool = False) -> DataFrame:

@@ -16,6 +16,16 @@ def _typed(text: Column, kind: DataType) -> Column:
     return text.try_cast(kind)
 
 
+def _object(entries: Column) -> Column:
+    """JSON text of entries; a key may repeat, as it may in the message itself."""
+
+    def member(entry: Column) -> Column:
+        text = F.to_json(F.create_map(entry["key"], entry["value"]))
+        return F.substring(text, F.lit(2), F.length(text) - 2)
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(entries, member), ","), F.lit("}"))
+
+
 def with_rescued(lines: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Typed columns of JSON lines; unknown keys and values of the wrong type go to one JSON column."""
     raw = F.from_json(F.col(value), MapType(StringType(), StringType()))
@@ -38,15 +48,15 @@ def with_rescued(lines: DataFrame, schema: StructType, value: str = "value") ->
     if wrong:
         entries = F.concat(entries, F.array_compact(F.array(*wrong)))
     unread = F.col("_raw").isNull() & (F.trim(F.col(value)) != "")
-    rescued = F.when(unread, F.col(value)).when(F.size(entries) > 0, F.to_json(F.map_from_entries(entries)))
+    rescued = F.when(unread, F.col(value)).when(F.size(entries) > 0, _object(entries))
     rest = [c for c in lines.columns if c != value]
     return opened.select(
         *rest, *[_typed(text(f.name), f.dataType).alias(f.name) for f in schema.fields], rescued.alias(RESCUED)
     )
 
 
-def inferred(spark: SparkSession, path: str, sample: float = 0.1) -> StructType:
-    """JSON schema of a sample of the files at ``path``."""
+def inferred(spark: SparkSession, path: str, sample: float = 1.0) -> StructType:
+    """JSON schema of all records at ``path``; a smaller ``sample`` may miss rare columns."""
     return spark.read.option("samplingRatio", sample).json(path).schema
 
 

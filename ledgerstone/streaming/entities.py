@@ -34,10 +34,12 @@ class EntityStream:
         rows = typed(self.entity, source_passed(bronze, self.entity.source))
         if self.entity.mode == APPEND:
             kept = flows.deduplicated(passed(rows, self.rules), self.entity.keys)
+            flows.bind(self.spark, f"{self.checkpoint}/refused", f"{self.refused_path}/entity_name={self.contract.name}")
             return [
                 flows.append_sink(kept, self.rows_path, f"{self.checkpoint}/rows", interval),
                 flows.each_batch(rows, self._refuse, f"{self.checkpoint}/refused", interval),
             ]
+        flows.bind(self.spark, f"{self.checkpoint}/rows", self.rows_path)
         return [flows.each_batch(rows, self._split, f"{self.checkpoint}/rows", interval)]
 
     def _refuse(self, batch: DataFrame, batch_id: int) -> None:

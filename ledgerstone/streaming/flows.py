@@ -28,8 +28,25 @@ def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
+def bind(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
+    """Refuse a new checkpoint over an output that has data.
+
+    Batches of a new checkpoint are numbered from 0 again and would overwrite or skip
+    what another one wrote. Replay into a fresh output, or keep the checkpoint.
+    """
+
+    def holds_data(path: str) -> bool:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return files.exists(place) and len(files.listStatus(place)) > 0
+
+    if not holds_data(f"{checkpoint}/offsets") and (taken := [p for p in outputs if holds_data(p)]):
+        raise ValueError(f"{', '.join(taken)} holds rows of another checkpoint than {checkpoint}")
+
+
 def append_sink(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Append-only Parquet table; the file sink's log makes each micro-batch appear once."""
+    bind(stream.sparkSession, checkpoint, path)
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
@@ -73,6 +90,8 @@ def split_sink(
     The quarantine is shared: every entity writes below its own ``entity_name=`` directory.
     """
 
+    bind(stream.sparkSession, checkpoint, passed_path, f"{quarantine_path}/entity_name={contract.name}")
+
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -126,4 +145,5 @@ class HistoryTable:
         return rows.join(versions, [BUCKET, VERSION], "left_semi").drop(BUCKET, VERSION)
 
     def follow(self, stream: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+        bind(self.spark, checkpoint, self.log_path)
         return each_batch(stream, self.apply, checkpoint, interval)

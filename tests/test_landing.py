@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerstone.sources import bronze, envelope, landing, manifest, registry, rescue
 from ledgerstone.streaming import flows
@@ -136,3 +136,13 @@ def test_registered_tables_fan_out(spark, tmp_path):
     frames = bronze.tables(spark, str(tmp_path), {"banking_payees": RECORD, "energy_plans": RECORD})
     assert {n: f.first().id for n, f in frames.items()} == {"cdc_banking_payees": "1", "file_energy_plans": "9"}
     assert bronze.tables(spark, str(tmp_path), {"banking_payees": RECORD}, streaming=True)["cdc_banking_payees"].isStreaming
+
+
+def test_repeated_keys_and_other_headers(spark, tmp_path):
+    lines = spark.createDataFrame([('{"id": 1, "x": "a", "x": "b"}',)], "value string")
+    row = rescue.with_rescued(lines, StructType([StructField("id", LongType())])).first()
+    assert row.id == 1 and '"x":"' in row._rescued_data
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.csv").write_text("id,extra\n1,z\n")
+    with pytest.raises(Exception, match="header"):
+        landing.csv_rows(spark, str(tmp_path / "f"), ["id", "purpose"]).collect()

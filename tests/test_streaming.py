@@ -104,3 +104,17 @@ def test_joined_entities_have_no_stream(spark, tmp_path):
 
     with pytest.raises(ValueError):
         EntityStream(spark, "ip_individual", str(tmp_path), datetime(2024, 1, 1))
+
+
+def test_new_checkpoint_over_old_output_is_refused(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+
+    def start(checkpoint):
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+        flows.append_sink(stream, str(tmp_path / "out"), str(tmp_path / checkpoint)).awaitTermination()
+
+    start("one")
+    start("one")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    with pytest.raises(ValueError):
+        start("two")
