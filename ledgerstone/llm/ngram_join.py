@@ -42,6 +42,8 @@ LOW, HIGH = 3, 4
 SMALL = 64
 #: 64-bit words of the parity sketch that bucket joins compare.
 SKETCH_WORDS = 16
+#: Larger sets have a second sketch of some 4 to 8 bits a shingle; in the short one their differences cancel.
+WIDE_FROM = 1024
 
 
 def bands_of(n: int) -> list[int]:
@@ -70,11 +72,21 @@ def signatures(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray, words: int) -> bytes:
-    """Parity of the hashes in each of 64 * words buckets."""
-    bucket = (hashes >> np.uint64(64 - (64 * words).bit_length() + 1)).astype(np.int64)
+    """Parity of the hashes in each of 64 * words buckets; a bucket is a hash's low bits, so halves fold onto each other."""
+    bucket = (hashes & np.uint64(64 * words - 1)).astype(np.int64)
     return np.packbits((np.bincount(bucket, minlength=64 * words) & 1).astype(np.uint8)).tobytes()
 
 
+def wide_sketch(hashes: np.ndarray) -> bytes | None:
+    return sketch(hashes, 1 << max(0, (len(hashes) - 1) // 16).bit_length()) if len(hashes) >= WIDE_FROM else None
+
+
+def wide_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two wide sketches, the longer one folded to the length of the other."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return chosen(docs, "doc_id", "text").select("doc_id", F.col("text").cast("string").alias("text"))
 
@@ -93,18 +105,19 @@ def buckets(docs: DataFrame) -> DataFrame:
 
 
 def facts(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, n (set size), a 128-bit fingerprint of the set (f1, f2) and its sketch (s0, s1, ...)."""
+    """Per row doc_id, n (set size), a 128-bit fingerprint of the set (f1, f2), its sketch (s0, s1, ...) and the wide one."""
     names = ["n", "f1", "f2", *[f"s{i}" for i in range(SKETCH_WORDS)]]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in text_slices(batches):
-            rows = []
+            rows, wide = [], []
             for s in shingle_sets(data, at, K):
+                wide.append(wide_sketch(s))
                 rows.append(np.r_[np.array([len(s), np.bitwise_xor.reduce(mixed(s)), s.sum(dtype=np.uint64)], np.uint64), np.frombuffer(sketch(s, SKETCH_WORDS), np.uint64)])
             columns = np.ascontiguousarray(np.array(rows, np.uint64).view(np.int64).T)
-            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns)], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns), pa.array(wide, pa.binary())], ["doc_id", *names, "wide"])
 
-    return _texts(docs).mapInArrow(emit, "doc_id long, " + ", ".join(f"{c} long" for c in names))
+    return _texts(docs).mapInArrow(emit, "doc_id long, " + ", ".join(f"{c} long" for c in names) + ", wide binary")
 
 
 def may_link(a: str, b: str) -> Column:
@@ -168,14 +181,14 @@ def linked(docs: DataFrame) -> DataFrame:
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
     mixed_buckets = grouped.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
-    apart = stored(grouped.join(mixed_buckets, "sig"), "apart").join(reps, "doc_id")
+    apart = stored(grouped.join(mixed_buckets, "sig"), "apart").join(reps.drop("wide"), "doc_id")
     release(spark)
     pairs = (
         apart.alias("x").join(apart.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     )
     pairs = stored(pairs, "pairs").join(near, ["a", "b"], "left_anti").join(near.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    pairs = stored(pairs, "pairs")
+    pairs = stored(_both_known(pairs, reps), "pairs")
     last = extended(first, stored(verified(texts_of(docs, pairs), pairs), "links"))
     node = F.coalesce("component", "doc_id").alias("component_id")
     return known.select("doc_id", F.col("n").alias("n_shingles")).join(last.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", node)
@@ -196,9 +209,18 @@ def extended(first: DataFrame, late: DataFrame) -> DataFrame:
 
 
 def _both_known(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs of representatives that sizes and both sketches allow."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(2).to_pylist(), *[(v.as_buffer() if v.is_valid else None for v in batch.column(c)) for c in (3, 4)])
+            fits = [x is None or y is None or (HIGH + LOW) * wide_distance(x, y) <= (HIGH - LOW) * n for n, x, y in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
     x, y = reps.alias("x"), reps.alias("y")
-    both = pairs.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
-    return both.where(may_link("x", "y")).select("a", "b").distinct()
+    both = pairs.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id")).where(may_link("x", "y"))
+    wide = both.select("a", "b", (F.col("x.n") + F.col("y.n")).alias("n"), F.col("x.wide").alias("x"), F.col("y.wide").alias("y"))
+    return wide.mapInArrow(near, "a long, b long").distinct()
 
 
 def representatives(docs: DataFrame) -> DataFrame:
