@@ -325,8 +325,8 @@ register(
             f"""SELECT 'CROSS_EVENT_TRANSITION_ALIGNMENT', CAST(event_id AS VARCHAR), 1 FROM events e WHERE NOT EXISTS (
             SELECT 1 FROM {_EV} o WHERE o.value > 5 AND o.user_id = e.user_id AND o.event_type = e.event_type
             AND o.late BETWEEN e.ts - INTERVAL 1 HOUR AND e.ts + INTERVAL 1 HOUR)""",
-            """SELECT 'IDENTIFIER_SEQUENCE_COMPLETE', CAST(n AS VARCHAR), 1 FROM (SELECT unnest(generate_series(min(doc_id), max(doc_id))) AS n FROM labels)
-            WHERE n NOT IN (SELECT doc_id FROM labels)""",
+            """SELECT 'IDENTIFIER_SEQUENCE_COMPLETE', CAST(doc_id + 1 AS VARCHAR) || '..' || CAST(next - 1 AS VARCHAR), next - doc_id - 1
+            FROM (SELECT doc_id, lead(doc_id) OVER (ORDER BY doc_id) AS next FROM (SELECT DISTINCT doc_id FROM labels)) WHERE next > doc_id + 1""",
         ]
     ),
 )

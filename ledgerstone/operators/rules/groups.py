@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstone.operators.ordered import time_chunk, with_neighbours
 from ledgerstone.operators.rules.rows import condition
@@ -144,29 +144,24 @@ def aligned(frame: DataFrame, spec: Spec, other: DataFrame) -> DataFrame:
 
 @_type("IDENTIFIER_SEQUENCE_COMPLETE")
 def sequence_gaps(frame: DataFrame, spec: Spec) -> DataFrame:
-    """Numbers missing between the smallest and largest identifier.
+    """Runs of missing numbers (first..last) between the smallest and largest identifier, with their lengths.
 
-    Identifiers are counted per block of numbers; only blocks that are short of
-    some are written out, so a complete sequence costs one small aggregate.
+    Each number meets its follower within a block of numbers; blocks then shrink to
+    their ends and meet the next ones in blocks of blocks, so no task holds more
+    than ``block`` rows and a gap of any width is one row.
     """
     block = spec.get("block", 100_000)
     number = F.regexp_extract(F.col(spec["column"]).cast("string"), spec["pattern"], 1).try_cast("bigint")
-    ids = frame.select(number.alias("_n")).where(F.col("_n").isNotNull()).distinct()
-    blocks = ids.groupBy(F.floor(F.col("_n") / block).cast("bigint").alias("_block")).agg(F.count("*").alias("_have"))
-    ends = ids.agg(F.min("_n").alias("_low"), F.max("_n").alias("_high"))
-    wanted = ends.select(
-        "_low",
-        "_high",
-        F.explode(
-            F.sequence(F.floor(F.col("_low") / block).cast("bigint"), F.floor(F.col("_high") / block).cast("bigint"))
-        ).alias("_block"),
-    ).select(
-        "_block",
-        F.greatest("_low", F.col("_block") * block).alias("_from"),
-        F.least("_high", F.col("_block") * block + (block - 1)).alias("_to"),
-    )
-    short = wanted.join(blocks, "_block", "left").where(
-        F.coalesce("_have", F.lit(0)) < F.col("_to") - F.col("_from") + 1
-    )
-    missing = short.select(F.explode(F.sequence("_from", "_to")).alias("_n")).join(ids, "_n", "left_anti")
-    return found(missing, spec, F.col("_n").cast("string"), F.lit(1))
+    ends = frame.select(number.alias("_low")).where(F.col("_low").isNotNull()).distinct().withColumn("_high", F.col("_low"))
+    gaps, width = [], 1
+    while width < 2**63:
+        width *= block
+        group = F.floor(F.col("_low") / F.lit(width)).cast("bigint") if width < 2**63 else F.lit(0).cast("bigint")
+        grouped = ends.withColumn("_group", group)
+        follower = F.lead("_low").over(Window.partitionBy("_group").orderBy("_low"))
+        apart = grouped.withColumn("_next", follower).where(F.col("_next") > F.col("_high") + 1)
+        gaps.append(apart.select((F.col("_high") + 1).alias("_from"), (F.col("_next") - 1).alias("_to")))
+        ends = grouped.groupBy("_group").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high")).drop("_group")
+    missing = reduce(DataFrame.unionByName, gaps)
+    return found(missing, spec, F.concat_ws("..", F.col("_from").cast("string"), F.col("_to").cast("string")), F.col("_to") - F.col("_from") + 1)
+

@@ -40,3 +40,11 @@ def test_query_matches_duckdb(spark, db, name):
 def test_every_query_has_a_statement_and_a_plain_name():
     assert [n for n, c in CHECKS.items() if c.oracle is None] == []
     assert [n for n in CHECKS if re.search(r"pipeline|^op\d+_", n)] == []
+
+
+def test_gaps_of_any_width_are_one_row(spark):
+    from ledgerstone.operators.rules.groups import GROUP_RULES
+
+    ids = spark.createDataFrame([(1,), (3,), (3,), (9 * 10**15,)], "id long")
+    got = GROUP_RULES["IDENTIFIER_SEQUENCE_COMPLETE"](ids, {"type": "IDENTIFIER_SEQUENCE_COMPLETE", "column": "id", "pattern": "^([0-9]+)$"})
+    assert {tuple(r)[1:] for r in got.collect()} == {("2..2", 1), (f"4..{9 * 10**15 - 1}", 9 * 10**15 - 4)}
