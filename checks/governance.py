@@ -7,15 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from checks.catalogue import register
-from checks.estate import AS_OF, read
+from checks.estate import AS_OF, TABLES, read
 from checks.oracle import NOW, compose
 from checks.products import SHARED, warehouse
 from ledgerstone.operators import audit, dependencies
 from ledgerstone.plans import audits
 from ledgerstone.plans.gold import PRODUCTS
+from ledgerstone.plans.silver import ENTITIES, SCD2
 
 DUE = f"processed_at < {NOW} - INTERVAL 24 HOUR"
-LIGHT = (
+ALL = tuple(audits.NATURAL_KEYS)
+GRADED = (
     "dim_customer dim_organisation fact_application_document fact_arrangement_current bridge_organisation_party_role"
     " bridge_organisation_relationship fact_verification_current fact_service_case_current fact_service_activity"
 ).split()
@@ -109,7 +111,7 @@ def _union(parts) -> str:
 
 def _duplicates(spark, sf_dir):
     lines = audit.duplicate_keys(read(spark, sf_dir, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])
-    return lines.unionByName(audits.duplicates(warehouse(spark, sf_dir), LIGHT))
+    return lines.unionByName(audits.duplicates(warehouse(spark, sf_dir, frozenset(ALL))))
 
 
 def _dup_sql(table, entity, keys):
@@ -122,7 +124,7 @@ register(
     _duplicates,
     _union(
         [_dup_sql("lineitem", "lineitem", ["l_orderkey", "l_linenumber"])]
-        + [_dup_sql(f"gold_{p}", p, audits.NATURAL_KEYS[p]) for p in LIGHT]
+        + [_dup_sql(f"gold_{p}", p, audits.NATURAL_KEYS[p]) for p in ALL]
     ),
 )
 _NULLABLE = {"fact_application_document": ["document_id", "customer_id"], "fact_arrangement_current": ["customer_id", "organisation_id"]}
@@ -141,9 +143,9 @@ register(
 )
 register(
     "audit_hard_failed",
-    lambda spark, sf_dir: audits.hard_failures(warehouse(spark, sf_dir), LIGHT),
+    lambda spark, sf_dir: audits.hard_failures(warehouse(spark, sf_dir), GRADED),
     _union(
-        [_sql("HARD_FAILED_ROW", p, _keys(audits.NATURAL_KEYS[p]), "1", f"gold_{p} WHERE dq_status IS DISTINCT FROM 'PASSED'") for p in LIGHT]
+        [_sql("HARD_FAILED_ROW", p, _keys(audits.NATURAL_KEYS[p]), "1", f"gold_{p} WHERE dq_status IS DISTINCT FROM 'PASSED'") for p in GRADED]
     ),
 )
 register(
@@ -207,13 +209,13 @@ register(
         ]
     ),
 )
-_HIS = {"evt_service_case": ["case_id"], "ip_organisation": ["organisation_id"]}
+_HIS = {n: list(e.keys) for n, e in ENTITIES.items() if e.mode == SCD2}
 register(
     "audit_open_rows",
     lambda spark, sf_dir: audits.open_rows(warehouse(spark, sf_dir), _HIS),
     _union(
         [
-            _sql("SEVERAL_OPEN", e, k[0], "n", f"(SELECT {k[0]}, count(*) AS n FROM his_{e} WHERE __END_AT IS NULL GROUP BY ALL HAVING count(*) > 1)")
+            _sql("SEVERAL_OPEN", e, _keys(k), "n", f"(SELECT {', '.join(k)}, count(*) AS n FROM his_{e} WHERE __END_AT IS NULL GROUP BY ALL HAVING count(*) > 1)")
             for e, k in _HIS.items()
         ]
         + [_sql("SEVERAL_OPEN", "app_stage_history", "application_id", "n", "(SELECT application_id, count(*) AS n FROM cur_app_stage_history WHERE is_current_stage GROUP BY ALL HAVING count(*) > 1)")]
@@ -252,7 +254,7 @@ _TPCH = {
 
 
 def _all_tables(spark, sf_dir):
-    frames = {t: read(spark, sf_dir, t) for t in ("customer", "supplier", "part", "orders", "lineitem", "events")}
+    frames = {t: read(spark, sf_dir, t) for t in TABLES}
     return audit.together(
         [audit.row_counts(frames)]
         + [audit.orphan_keys(frames[c], f"{c}.{k}", frames[p], [(k, pk)]) for c, rel in _TPCH.items() for k, p, pk in rel]
@@ -263,7 +265,7 @@ register(
     "audit_generated_tables",
     _all_tables,
     _union(
-        [_sql("ROW_COUNT", t, f"'{t}'", "n", f"(SELECT count(*) AS n FROM {t})") for t in ("customer", "supplier", "part", "orders", "lineitem", "events")]
+        [_sql("ROW_COUNT", t, f"'{t}'", "n", f"(SELECT count(*) AS n FROM {t})") for t in TABLES]
         + [
             _sql("ORPHAN_KEY", f"{c}.{k}", k, "n", f"(SELECT {k}, count(*) AS n FROM {c} WHERE {k} NOT IN (SELECT {pk} FROM {p}) GROUP BY {k})")
             for c, rel in _TPCH.items()
