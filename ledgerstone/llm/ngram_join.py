@@ -189,7 +189,9 @@ def linked(docs: DataFrame) -> DataFrame:
     )
     pairs = stored(pairs, "pairs").join(near, ["a", "b"], "left_anti").join(near.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     pairs = stored(_both_known(pairs, reps), "pairs")
-    last = extended(first, stored(verified(texts_of(docs, pairs), pairs), "links"))
+    further = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(texts.select("doc_id"), "doc_id", "left_anti"), "wanted")
+    more = stored(_texts(docs).join(further, "doc_id", "left_semi"), "texts")
+    last = extended(first, stored(verified(texts.unionByName(more), pairs), "links"))
     node = F.coalesce("component", "doc_id").alias("component_id")
     return known.select("doc_id", F.col("n").alias("n_shingles")).join(last.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", node)
 
