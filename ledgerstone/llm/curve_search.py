@@ -9,6 +9,10 @@ Each query meets its own block and its neighbours on both sides, as many as ``re
 says; every block returns its best, and all blocks' best are merged and ranked by exact
 inner products.
 
+The fitting sample seeds the search: its k best for a query are candidates, and what
+scores below the last of them is left out of the blocks' answers, as it cannot be among
+the k nearest. So answers grow with the rows that can matter, not with blocks.
+
 Directions, block borders and ``reach`` are fitted on bounded samples: at most
 ``SAMPLE_ROWS`` vectors and ``SAMPLE_QUERIES`` queries, those with the smallest hashes of
 their ids. Reach is the smallest at which the sample's recall against brute force is at
@@ -79,8 +83,18 @@ class Curves:
     span: np.ndarray
     shift: np.ndarray
     borders: list[np.ndarray]
+    ids: np.ndarray
+    sample: np.ndarray
     reach: int = 0
 
+    def seeds(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, ids) of the sample's k best for each query; -inf where there are fewer."""
+        scores = vectors @ self.sample.T
+        scores[ids[:, None] == self.ids[None, :]] = -np.inf
+        k = min(k, len(self.ids))
+        best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        return np.take_along_axis(scores, best, axis=1), self.ids[best]
+
     def keys(self, ordering: int, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         extra = np.sqrt(np.maximum(self.longest**2 - (vectors**2).sum(axis=1), 0))
         flat = np.c_[vectors, extra] @ self.directions[ordering].T
@@ -112,7 +126,7 @@ def fitted(vectors: DataFrame, rows: int, block_rows: int, orderings: int) -> Cu
     extra = np.sqrt(np.maximum(longest**2 - (x**2).sum(axis=1), 0))
     flat = np.einsum("nc,odc->ond", np.c_[x, extra], directions)
     low, high = flat.min(axis=1), flat.max(axis=1)
-    curves = Curves(longest, directions, low, np.maximum(high - low, 1e-9), random.random((orderings, DIMENSIONS)) * 0.5, [])
+    curves = Curves(longest, directions, low, np.maximum(high - low, 1e-9), random.random((orderings, DIMENSIONS)) * 0.5, [], ids, x)
     count = int(np.clip(rows // block_rows, 1, min(MOST_BLOCKS, len(ids))))
     for o in range(orderings):
         keys = np.sort(curves.keys(o, ids, x))
@@ -155,6 +169,9 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderin
                 ids, x = few.column(0).to_numpy(), _matrix(few.column(1))
                 row = np.arange(len(ids))
                 asks = row[ids % every == 0]
+                floor = np.full(len(ids), -np.inf)
+                if len(asks) and len(curves.ids) >= k:
+                    floor[asks] = curves.seeds(ids[asks], x[asks], k)[0].min(axis=1) - 1e-9
                 for o in range(orderings):
                     block = curves.blocks(o, ids, x)
                     around = np.arange(-curves.reach, curves.reach + 1)
@@ -166,13 +183,14 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderin
                             pick = pa.array(rows[j : j + 4096])
                             n = len(pick)
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(blocks[j : j + 4096].astype(np.int64) * orderings + o), pa.array(np.full(n, query)), few.column(0).take(pick), few.column(1).take(pick)],
-                                ["block", "query", "vec_id", "vector"],
+                                [pa.array(blocks[j : j + 4096].astype(np.int64) * orderings + o), pa.array(np.full(n, query)), few.column(0).take(pick), pa.array(floor[rows[j : j + 4096]]), few.column(1).take(pick)],
+                                ["block", "query", "vec_id", "least", "vector"],
                             )
 
     def best(table: pa.Table) -> pa.Table:
         query = table.column("query").to_numpy()
         ids, x = table.column("vec_id").to_numpy(), _matrix(table.column("vector").combine_chunks())
+        least = table.column("least").to_numpy()
         have, want = np.flatnonzero(~query), np.flatnonzero(query)
         have = have[np.argsort(ids[have], kind="stable")]
         found: list[tuple] = []
@@ -181,7 +199,7 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderin
             scores = x[ask] @ x[have].T
             scores[ids[ask][:, None] == ids[have][None, :]] = -np.inf
             most = min(k, len(have))
-            floor = -np.partition(-scores, most - 1, axis=1)[:, most - 1 : most]
+            floor = np.maximum(-np.partition(-scores, most - 1, axis=1)[:, most - 1 : most], least[ask][:, None])
             r, c = np.nonzero((scores >= floor) & (scores > -np.inf))  # ties of the last stay in
             order = np.lexsort((ids[have][c], -scores[r, c], r))
             r, c = r[order], c[order]
@@ -191,8 +209,18 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderin
         q, v, s = (np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3))
         return pa.table({"query_id": pa.array(q.astype(np.int64)), "vec_id": pa.array(v.astype(np.int64)), "score": pa.array(s.astype(float))})
 
-    rows = good.mapInArrow(dealt, "block long, query boolean, vec_id long, vector array<double>")
+    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                few = batch.slice(i, 256)
+                ids = few.column(0).to_numpy()
+                scores, found = curves.seeds(ids, _matrix(few.column(1)), k)
+                real = scores > -np.inf
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, real.sum(axis=1))), pa.array(found[real]), pa.array(scores[real])], ["query_id", "vec_id", "score"])
+
+    rows = good.mapInArrow(dealt, "block long, query boolean, vec_id long, least double, vector array<double>")
     found = rows.groupBy("block").applyInArrow(best, "query_id long, vec_id long, score double")
+    found = found.unionByName(good.where(F.col("vec_id") % every == 0).mapInArrow(seeded, "query_id long, vec_id long, score double"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return once.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
