@@ -108,6 +108,46 @@ def test_repeated_passages_are_found(documents, messy):
     assert {r.doc_id for r in found if r.other_id == 9} == {10}
 
 
+def classes_by_document(found):
+    """The passage classes that each document stands in."""
+    of = {}
+    for r in found:
+        for i in (r.doc_id, r.other_id):
+            of.setdefault(i, set()).add((r.class_doc, r.class_word))
+    return of
+
+
+def test_passages_of_common_sentences_are_linked(documents):
+    random.seed(7)
+    text = lambda n: " ".join(f"q{random.randrange(10**6)}" for _ in range(n))
+    rows, pairs, free = [], [], random.sample(range(10_000), 2000)
+    for _ in range(8):
+        sentences = [text(16) for _ in range(4)]
+        pairs.append((free.pop(), free.pop()))
+        rows += [(i, f"{text(60)} {' '.join(sentences)} {text(60)}") for i in pairs[-1]]
+        rows += [(free.pop(), f"{text(50)} {s} {text(50)}") for s in sentences for _ in range(40)]
+    of = classes_by_document(passages.near_duplicates(documents(rows)).collect())
+    assert set(of) == {i for p in pairs for i in p}
+    assert all(of[a] == of[b] for a, b in pairs) and len({c for x in of.values() for c in x}) == len(pairs)
+
+
+def test_edited_families_with_interleaved_ids_are_one_class(documents):
+    random.seed(8)
+    text = lambda n: [f"q{random.randrange(10**6)}" for _ in range(n)]
+    rows, families, free = [], [], random.sample(range(1000), 120)
+    for _ in range(6):
+        base, ids = text(100), [free.pop() for _ in range(20)]
+        families.append(ids)
+        for i in ids:
+            words = list(base)
+            for _ in range(1):
+                words[random.randrange(100)] = text(1)[0]
+            rows.append((i, " ".join(text(30) + words + text(30))))
+    of = classes_by_document(passages.near_duplicates(documents(rows)).collect())
+    for ids in families:
+        assert len({frozenset(of.get(i, ())) for i in ids}) == 1 and of[ids[0]]
+
+
 @given(st.binary(min_size=1, max_size=120).map(lambda b: bytes(x % 5 for x in b)))
 @settings(max_examples=100, deadline=None)
 def test_suffix_array_and_prefixes(data):
