@@ -2,9 +2,10 @@
 
 A text's canonical form is lower case without copyright lines, with equivalent
 spellings made one, and with every run of punctuation and white space one space. Its
-SHA-256 is joined with the digests of known licence texts. What is looked up whole is
-the document and each of its lines, so a file that is a licence and a notice line in a
-document are both found; a line or document that only mentions a licence is not.
+SHA-256 is joined with the digests of known licence texts: grants in a sentence or two, and
+the full texts in ``licence_texts``, named by SPDX id, with and without their title. What is looked up whole is
+the document, each of its lines and each block of lines between blank ones, so a file that
+is a licence and a notice in a document are both found, however their lines are wrapped; a line or document that only mentions a licence is not.
 
 Null or empty text matches nothing. Repeated rows give repeated rows. An empty table
 gives no rows. Other columns are not read.
@@ -12,6 +13,8 @@ gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstone.llm.common import chosen
@@ -43,11 +46,17 @@ EQUIVALENT = (
     ("merchantibility", "merchantability"), ("favour", "favor"), ("neighbour", "neighbor"), ("https://", "http://"), ("per cent", "percent"),
 )
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: The query's own rule is narrower: wrapped lines of a licence's body may begin with these words, or with an item (c).
+COPYRIGHT_HELD = (
+    r"(?m)^[^\p{L}\p{N}\n]*((?i:\(c\)|©)(?=[^\n]*\d{4})|(?i:all rights reserved)[^\p{L}\p{N}\n]*$|(?i:copyright)(?=[^\p{L}\n]*\d{4}|\s*(?i:\(c\)|©)"
+    r"|\s+(?!(?i:licen[sc]es?|notices?|holders?|owners?|laws?|act|treaty|interests?|statements?|disclaimers?|and|or)\b)\p{Lu}[^\n]*\p{Ll}))[^\n]*$"
+)
+BLOCK = r"\n[ \t\r]*\n"
 APART = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    out = F.lower(F.regexp_replace(text, COPYRIGHT_HELD, ""))
     for spelling, one in EQUIVALENT:
         out = F.replace(out, F.lit(spelling), F.lit(one))
     return F.trim(F.regexp_replace(out, APART, " "))
@@ -57,9 +66,19 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def full_texts() -> dict[str, list[str]]:
+    """The full texts by SPDX id, each as it is and, where its first block is a title, without it."""
+    out = {}
+    for file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        text = file.read_text()
+        title, _, body = text.strip().partition("\n\n")
+        out[file.stem] = [text, body] if file.stem != "Unlicense" else [text]
+    return out
+
+
 def known_digests(docs: DataFrame, known: dict[str, list[str]] = KNOWN) -> DataFrame:
     """(known_digest, licence) of the known texts, a fixed few."""
-    rows = [(name, text) for name, texts in known.items() for text in texts]
+    rows = [(name, text) for group in (known, full_texts()) for name, texts in group.items() for text in texts]
     return docs.sparkSession.createDataFrame(rows, "licence string, text string").select(digest(F.col("text")).alias("known_digest"), "licence").dropDuplicates(["known_digest"])
 
 
@@ -68,6 +87,10 @@ def scanned(docs: DataFrame, known: dict[str, list[str]] = KNOWN) -> DataFrame:
     digests = known_digests(docs, known)
     texts = chosen(docs, "doc_id", "text").withColumns({"text_hash": F.xxhash64("text"), "text_digest": digest(F.coalesce("text", F.lit("")))})
     lines = texts.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
+    # blocks with words on one line only, besides copyright, are lines already
+    blocks = texts.select("doc_id", "text_hash", F.posexplode(F.split("text", BLOCK, -1)).alias("pos", "line")).where(F.col("line").contains("\n"))
+    blocks = blocks.where(F.size(F.filter(F.split(F.regexp_replace("line", COPYRIGHT_HELD, ""), "\n", -1), lambda l: l.rlike(r"[\p{L}\p{N}]"))) > 1)
+    lines = lines.unionByName(blocks.withColumn("pos", -1 - F.col("pos")))
     found = (
         lines.select("doc_id", "text_hash", "pos", digest(F.col("line")).alias("known_digest")).join(digests, "known_digest")
         .groupBy("doc_id", "text_hash").agg(F.count_distinct("pos").alias("n_notices"), F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"))

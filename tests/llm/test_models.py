@@ -97,6 +97,26 @@ def test_licences_by_canonical_digest(documents, messy):
     assert licences.scanned(documents(rows).where("false")).collect() == []
 
 
+def test_full_licence_texts_in_two_wrappings(documents):
+    import re
+    import textwrap
+
+    def wrapped(text, width):
+        parts = re.split(r"\n[ \t]*\n", text)
+        return "\n\n".join(p if re.search("(?i)copyright +(\\(c\\)|<)", p) else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in parts)
+
+    texts = licences.full_texts()
+    rows, names = [], []
+    for name, (text, *_) in texts.items():
+        for one in (text, wrapped(text, 50), "Copyright (c) 2020 A. Holder\n" + wrapped(text, 100)):
+            rows.append((len(rows), one))
+            names.append(name)
+    rows.append((len(rows), "code\n\n" + licences.KNOWN["ISC"][0].replace("this software", "this\n# software") + "\n\nmore"))
+    out = {r.doc_id: r for r in licences.scanned(documents(rows)).collect()}
+    assert [out[i].text_licence for i in range(len(names))] == names
+    assert out[len(names)].licences == "ISC" and out[len(names)].n_notices == 1
+
+
 @pytest.fixture
 def benchmark(spark):
     rows = [
