@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstone.llm import curve_search, decontamination, licences, line_dedup, ngram_join, packing, passages, quality, suffix_dedup, toxicity
+from ledgerstone.llm import curve_search, decontamination, hard_negatives, licences, line_dedup, merge_encoding, ngram_join, packing, passages, quality, spelling, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,18 @@ def op5_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merge_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_encoding.digests(merge_encoding.decode(merge_encoding.encode(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))

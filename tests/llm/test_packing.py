@@ -115,4 +115,4 @@ def test_every_operator_is_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
