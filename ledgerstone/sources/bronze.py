@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerstone.sources import landing, registry
+from ledgerstone.sources import landing, reading, registry
 from ledgerstone.sources.envelope import operation
 from ledgerstone.sources.rescue import RESCUED
 
@@ -85,7 +85,7 @@ def file_rows(source: DataFrame, dataset: str, ingested_at: Column | None = None
     now = F.current_timestamp() if ingested_at is None else ingested_at
     path = F.col("_metadata.file_path")
     return source.select(
-        "*",
+        *[c for c in source.columns if c != "_metadata"],
         F.lit(dataset).alias("_source_dataset"),
         file_load_type(path).alias("_load_type"),
         file_batch(path).alias("_batch_id"),
@@ -99,23 +99,40 @@ def manifest_rows(source: DataFrame, ingested_at: Column | None = None) -> DataF
     return source.select("*", *_file_columns(), now.alias("_ingested_at"))
 
 
+def landed_lines(spark: SparkSession, root: str, table: str, streaming: bool = False, files_per_batch: int | None = None) -> DataFrame:
+    """Lines of a registered data set's files."""
+    kind, _, dataset = table.partition("_")
+    return reading.text_lines(spark, registry.landing_path(root, kind, dataset), streaming, files_per_batch)
+
+
+def opened(lines: DataFrame, table: str, record: StructType, ingested_at: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(Bronze rows with what their schema did not expect, lines that cannot be read) of a data set's lines.
+
+    JSON lines may be a stream. CSV lines are a batch or one micro-batch of a stream;
+    none of them is unreadable.
+    """
+    kind, _, dataset = table.partition("_")
+    if kind == "file":
+        return file_rows(reading.csv_rows(lines, record.fieldNames()), dataset, ingested_at), None
+    make, envelope = (cdc_rows, landing.cdc_schema) if kind == "cdc" else (event_rows, landing.event_schema)
+    rows = reading.json_rows(lines, envelope(record))
+    good, bad = (rows.where(F.col(reading.UNREADABLE).isNull()), rows.where(F.col(reading.UNREADABLE).isNotNull()))
+    return make(good, dataset, ingested_at), bad
+
+
 def tables(
     spark: SparkSession, root: str, records: Mapping[str, StructType], streaming: bool = False, ingested_at: Column | None = None
 ) -> dict[str, DataFrame]:
-    """One Bronze frame per registered data set whose record schema is given."""
-    frames = {}
-    for table in registry.bronze_tables():
-        kind, _, dataset = table.partition("_")
-        if dataset not in records:
-            continue
-        path, record = registry.landing_path(root, kind, dataset), records[dataset]
-        if kind == "file":
-            frames[table] = file_rows(landing.csv_rows(spark, path, record.fieldNames(), streaming), dataset, ingested_at)
-        elif kind == "cdc":
-            frames[table] = cdc_rows(landing.json_lines(spark, path, landing.cdc_schema(record), streaming), dataset, ingested_at)
-        else:
-            frames[table] = event_rows(landing.json_lines(spark, path, landing.event_schema(record), streaming), dataset, ingested_at)
-    return frames
+    """One Bronze frame per registered data set whose record schema is given, rescued data included.
+
+    Streams of CSV data sets take their names from each file, micro-batch by micro-batch,
+    and are not among the streaming frames: ``streaming.ingestion`` drives them.
+    """
+    return {
+        table: opened(landed_lines(spark, root, table, streaming), table, records[table.partition("_")[2]], ingested_at)[0]
+        for table in registry.bronze_tables()
+        if table.partition("_")[2] in records and not (streaming and table.startswith("file_"))
+    }
 
 
 def _refused(frame: DataFrame, kind: str, dataset: Column, reason: Column, data: Column, file: Column, batch: Column, at: Column) -> DataFrame:
@@ -139,6 +156,20 @@ def rescued_rows(bronze: DataFrame, kind: str, dataset: str, at: Column | None =
     )
 
 
+def unreadable_lines(bad: DataFrame, kind: str, dataset: str, at: Column | None = None) -> DataFrame:
+    """Lines that hold no JSON object, whole, in the same shape as rescued rows."""
+    now = F.current_timestamp() if at is None else at
+    path, none = F.col("_metadata.file_path"), F.lit(None).cast("string")
+    return _refused(bad, kind, F.lit(dataset), F.lit("UNREADABLE_LINE"), F.col(reading.UNREADABLE), path, none, now)
+
+
+def refused_rows(rows: DataFrame, bad: DataFrame | None, table: str, at: Column | None = None) -> DataFrame:
+    """All that a data set sends to the ingestion quarantine."""
+    kind, _, dataset = table.partition("_")
+    rescued = rescued_rows(rows, kind, dataset, at)
+    return rescued if bad is None else rescued.unionByName(unreadable_lines(bad, kind, dataset, at))
+
+
 def refused_messages(invalid: DataFrame, kind: str, file: Column | None = None, at: Column | None = None) -> DataFrame:
     """Invalid transport in the same shape as rescued rows."""
     now = F.current_timestamp() if at is None else at
@@ -151,3 +182,16 @@ def refused_messages(invalid: DataFrame, kind: str, file: Column | None = None,
 def ingestion_quarantine(parts: Sequence[DataFrame]) -> DataFrame:
     """One stream or table of everything refused at ingestion."""
     return reduce(DataFrame.unionByName, parts)
+
+
+def landing_quarantine(spark: SparkSession, root: str, records: Mapping[str, StructType], at: Column | None = None) -> DataFrame:
+    """Everything refused in the landing area: each data set whose record schema is given, and both kinds of invalid transport."""
+    parts = []
+    for table in registry.bronze_tables():
+        dataset = table.partition("_")[2]
+        if dataset in records:
+            parts.append(refused_rows(*opened(landed_lines(spark, root, table), table, records[dataset], at), table, at))
+    for kind in ("cdc", "event"):
+        invalid = landing.invalid_transport(spark, f"{root}/quarantine/{kind}")
+        parts.append(refused_messages(invalid, kind, F.col("_metadata.file_path"), at))
+    return ingestion_quarantine(parts)

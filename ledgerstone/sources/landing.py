@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerstone.sources import reading
+
 INVALID_TRANSPORT = (
     "topic string, partition bigint, offset bigint, timestamp bigint, timestamp_type bigint, key string,"
     " parse_error string, raw_value string, captured_at string, batch_id string"
@@ -23,7 +25,6 @@ MANIFEST = (
     f" artifacts array<{ARTIFACT}>, artifact_count bigint, total_records bigint,"
     " source_record_counts struct<CDC: bigint, EVENT: bigint, FILE: bigint>"
 )
-CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 
 
 def _reader(spark: SparkSession, streaming: bool, files_per_batch: int | None = None):
@@ -67,14 +68,9 @@ def json_lines(spark, path: str, schema: StructType, streaming: bool = False, fi
     return _reader(spark, streaming, files_per_batch).schema(schema).json(path)
 
 
-def raw_lines(spark, path: str, streaming: bool = False) -> DataFrame:
-    """Unparsed lines, for rescue against an expected schema."""
-    return _reader(spark, streaming).text(path)
-
-
-def csv_rows(spark, path: str, columns: list[str], streaming: bool = False) -> DataFrame:
-    """CSV with a header, every column a string. A file whose header names other columns, or in another order, is refused."""
-    return _reader(spark, streaming).schema(string_schema(columns)).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+def csv_rows(spark, path: str, columns: list[str]) -> DataFrame:
+    """CSV rows by the names in each file's own header, every column a string; see ``reading.csv_rows``."""
+    return reading.csv_rows(reading.text_lines(spark, path), columns)
 
 
 def manifests(spark, path: str, streaming: bool = False) -> DataFrame:

@@ -28,6 +28,13 @@ def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
+def holds_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and has anything in it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(place) and len(files.listStatus(place)) > 0
+
+
 def bind(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
     """Refuse a new checkpoint over an output that has data.
 
@@ -35,12 +42,7 @@ def bind(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
     what another one wrote. Replay into a fresh output, or keep the checkpoint.
     """
 
-    def holds_data(path: str) -> bool:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return files.exists(place) and len(files.listStatus(place)) > 0
-
-    if not holds_data(f"{checkpoint}/offsets") and (taken := [p for p in outputs if holds_data(p)]):
+    if not holds_data(spark, f"{checkpoint}/offsets") and (taken := [p for p in outputs if holds_data(spark, p)]):
         raise ValueError(f"{', '.join(taken)} holds rows of another checkpoint than {checkpoint}")
 
 
