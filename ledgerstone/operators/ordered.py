@@ -111,3 +111,27 @@ def with_ordinal(
         .withColumn(name, (F.col(name) + F.col("_offset")).cast("int"))
         .drop(CHUNK, "_offset")
     )
+
+
+def with_last_marked(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, marked: Column, value: Column, name: str
+) -> DataFrame:
+    """Add the ``value`` of the last marked row at or before each row of its key, null where there is none.
+
+    A window looks inside the chunk; rows before the chunk's first mark take the last
+    mark of earlier chunks, from one summary row per (key, chunk). Keys must not be null.
+    """
+    keys, order = list(keys), list(order)
+    chunked = frame.withColumns({CHUNK: chunk, "_mark": F.when(marked, value)})
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.struct(*order)))
+    carried = chunked.groupBy(*keys, CHUNK).agg(last.alias("_last_mark")).select(
+        *keys, CHUNK, F.last("_last_mark", ignorenulls=True).over(before).alias("_carried")
+    )
+    return (
+        chunked.withColumn("_near", F.last("_mark", ignorenulls=True).over(inside))
+        .join(carried, [*keys, CHUNK], "left")
+        .withColumn(name, F.coalesce("_near", "_carried"))
+        .drop(CHUNK, "_mark", "_near", "_carried")
+    )

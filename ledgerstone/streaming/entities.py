@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerstone.operators.quality import ERROR, compile_rules, passed, quarantined
+from ledgerstone.operators.splice import Splice
 from ledgerstone.plans.contracts import SILVER_CONTRACTS
 from ledgerstone.plans.silver import APPEND, ENTITIES, JOINED, source_passed, typed
 from ledgerstone.streaming import flows
+from ledgerstone.streaming.late import LateAwareTable
 
 
 class EntityStream:
     """One entity below ``root``: its rows, its quarantine and its checkpoints.
 
-    Changes go to a ``HistoryTable``; immutable records are deduplicated within
-    the watermark. Both divert failing rows into the shared quarantine layout.
+    Changes go to a ``SplicedHistory``; immutable records to a ``LateAwareTable``, which
+    keeps what is later than the watermark apart. Both divert failing rows into the
+    shared quarantine layout.
     """
 
-    def __init__(self, spark: SparkSession, name: str, root: str, as_of: datetime, buckets: int = 256) -> None:
+    def __init__(self, spark: SparkSession, name: str, root: str, as_of: datetime, buckets: int = 64) -> None:
         self.entity, self.contract = ENTITIES[name], SILVER_CONTRACTS[name]
         if self.entity.mode == JOINED:
             raise ValueError(f"{name} is built from snapshots of several sources, not from one stream")
@@ -28,17 +31,11 @@ class EntityStream:
         self.rules = compile_rules(self.contract, ERROR, as_of)
         self.rows_path, self.refused_path = f"{root}/{name}/rows", f"{root}/quarantine"
         self.checkpoint = f"{root}/{name}/checkpoint"
-        self.table = flows.HistoryTable(spark, self.rows_path, self.entity.keys, buckets)
+        append = self.entity.mode == APPEND
+        self.table = LateAwareTable(spark, self.rows_path, self.entity.keys) if append else flows.SplicedHistory(spark, self.rows_path, Splice(self.entity.keys), buckets)
 
     def start(self, bronze: DataFrame, interval: str | None = None) -> list[StreamingQuery]:
         rows = typed(self.entity, source_passed(bronze, self.entity.source))
-        if self.entity.mode == APPEND:
-            kept = flows.deduplicated(passed(rows, self.rules), self.entity.keys)
-            flows.bind(self.spark, f"{self.checkpoint}/refused", f"{self.refused_path}/entity_name={self.contract.name}")
-            return [
-                flows.append_sink(kept, self.rows_path, f"{self.checkpoint}/rows", interval),
-                flows.each_batch(rows, self._refuse, f"{self.checkpoint}/refused", interval),
-            ]
         flows.bind(self.spark, f"{self.checkpoint}/rows", self.rows_path)
         return [flows.each_batch(rows, self._split, f"{self.checkpoint}/rows", interval)]
 
@@ -57,7 +54,7 @@ class EntityStream:
             batch.unpersist()
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.rows_path) if self.entity.mode == APPEND else self.table.read()
+        return self.table.read()
 
     def refused(self) -> DataFrame:
         return self.spark.read.parquet(self.refused_path).drop(flows.BATCH)

@@ -12,15 +12,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerstone.operators.history import AUDIT_COLUMNS, OPERATION, SEQUENCE, TIE_BREAKS, scd2
 from ledgerstone.operators.quality import Contract, passed, quarantined
+from ledgerstone.operators.splice import AT, Splice, live
 
 # Cadence and retention.
 BRONZE_INTERVAL = "1 minute"
 DOWNSTREAM_INTERVAL = "15 minutes"
 DEDUPLICATION_WATERMARK = "7 days"
 
-BATCH, BUCKET, VERSION = "_batch", "_bucket", "_version"
+BATCH, BUCKET = "_batch", "_bucket"
 
 
 def _trigger(interval: str | None) -> dict:
@@ -64,8 +64,8 @@ def inserts(spark: SparkSession, path: str) -> DataFrame:
 def deduplicated(stream: DataFrame, keys: Sequence[str], moment: str = "processed_at", delay: str = DEDUPLICATION_WATERMARK) -> DataFrame:
     """Drop repeated deliveries of a key within the watermark; state older than it is evicted.
 
-    Rows that arrive later than the watermark are not taken in, so ``moment`` must
-    be the load time, which rises with arrival; a full replay runs as one batch.
+    Rows that arrive later than the watermark are not taken in and not counted;
+    ``late.LateAwareTable`` keeps them apart instead.
     """
     return stream.withWatermark(moment, delay).dropDuplicatesWithinWatermark(list(keys))
 
@@ -106,45 +106,51 @@ def split_sink(
     return each_batch(stream, work, checkpoint, interval)
 
 
-class HistoryTable:
+class SplicedHistory:
     """Type 2 history kept up to date from a stream of validated changes, in any arrival order.
 
-    Changes are stored append-only in a log, in buckets of the key's hash. A
-    batch recomputes the history of the buckets it touches from their whole log
-    and writes it as a new version; the version list is written last. Late and
-    out-of-order changes therefore need no special case, untouched buckets are
-    never rewritten, and readers see whole versions only.
+    Two append-only tables: the log of changes and signed runs (``operators.splice``). A
+    batch splices its changes into the live runs of the keys it holds; late and
+    out-of-order changes need no special case. A batch that runs again overwrites what
+    it wrote and sees only what earlier batches wrote.
     """
 
-    def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 256, sequence: str = SEQUENCE,
-        tie_breaks: Sequence[str] = TIE_BREAKS, untracked: Sequence[str] = AUDIT_COLUMNS,
-        deleted: Column | None = None, dropped: Sequence[str] = (OPERATION,), chunk_unit: str = "month",
-    ) -> None:
-        self.spark, self.keys, self.buckets = spark, list(keys), buckets
-        self.log_path, self.data_path, self.versions_path = (f"{path}/{p}" for p in ("log", "data", "versions"))
-        self._history = lambda log: scd2(
-            log, self.keys, sequence, tie_breaks, untracked, deleted, dropped, chunk_unit
-        )
+    def __init__(self, spark: SparkSession, path: str, splice: Splice, buckets: int = 64) -> None:
+        self.spark, self.splice, self.buckets = spark, splice, buckets
+        self.log_path, self.runs_path = f"{path}/log", f"{path}/runs"
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.splice.keys), F.lit(self.buckets)).cast("int")
+
+    def _before(self, path: str, batch_id: int | None, like: DataFrame | None = None) -> DataFrame | None:
+        """Rows of earlier batches, of the buckets of ``like`` only."""
+        if not holds_data(self.spark, path):
+            return None
+        rows = self.spark.read.parquet(path)
+        rows = rows if batch_id is None else rows.where(F.col(BATCH) < batch_id)
+        return rows if like is None else rows.join(like.select(self._bucket().alias(BUCKET)).distinct(), BUCKET, "left_semi")
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Take in one batch of changes. Applying the same batch twice has no further effect."""
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        changes.withColumn(BUCKET, bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(
-            f"{self.log_path}/{BATCH}={batch_id}"
-        )
-        log = self.spark.read.parquet(self.log_path).where(F.col(BATCH) <= batch_id)
-        touched = log.where(F.col(BATCH) == batch_id).select(BUCKET).distinct()
-        affected = log.join(touched, BUCKET, "left_semi").drop(BATCH, BUCKET)
-        rebuilt = self._history(affected).withColumn(BUCKET, bucket)
-        rebuilt.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.data_path}/{VERSION}={batch_id}")
-        touched.write.mode("overwrite").parquet(f"{self.versions_path}/{VERSION}={batch_id}")
+        """Take in one batch of changes. Applying the same batch again has no further effect."""
+        rows = self.splice.rows(changes)
+
+        def log(split: DataFrame) -> DataFrame:
+            """Earlier changes in the time that split runs span; none are read where no run is split."""
+            at = self.splice.sequence
+            span = split.agg(F.min(f"_from.{at}").alias("low"), F.max(f"_to.{at}").alias("high"), F.count("*").alias("n")).first()
+            earlier = self._before(self.log_path, batch_id, split) if span["n"] else None
+            if earlier is None:
+                return rows.where("false")
+            return earlier.where(F.col(f"{AT}.{at}").between(F.lit(span["low"]), F.lit(span["high"])))
+
+        stored = self._before(self.runs_path, batch_id, rows)
+        stored = None if stored is None else live(stored.drop(BUCKET), self.splice.keys, BATCH)
+        for frame, path in ((rows, self.log_path), (self.splice.spliced(stored, changes, log), self.runs_path)):
+            frame.withColumn(BUCKET, self._bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{BATCH}={batch_id}")
 
     def read(self) -> DataFrame:
-        """The current history: for each bucket its latest committed version."""
-        versions = self.spark.read.parquet(self.versions_path).groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))
-        rows = self.spark.read.parquet(self.data_path)
-        return rows.join(versions, [BUCKET, VERSION], "left_semi").drop(BUCKET, VERSION)
+        """The current history."""
+        return self.splice.versions(live(self.spark.read.parquet(self.runs_path).drop(BUCKET), self.splice.keys, BATCH))
 
     def follow(self, stream: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:
         bind(self.spark, checkpoint, self.log_path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerstone.operators import history
 from ledgerstone.operators.quality import ERROR, Contract, Rule, compile_rules
+from ledgerstone.operators.splice import Splice
 from ledgerstone.plans.publish import latest, materialise
 from ledgerstone.streaming import flows
 from tests.test_history import SCHEMA, changes
@@ -31,7 +32,7 @@ def test_history_table_equals_batch_for_any_batch_split(spark, batches, tmp_path
     log, path = batches
     want = history.scd2(log, ["k"], untracked=["note"])
     for files in (1, 3):
-        table = flows.HistoryTable(spark, str(tmp_path / f"h{files}"), ["k"], buckets=3, untracked=["note"])
+        table = flows.SplicedHistory(spark, str(tmp_path / f"h{files}"), Splice(["k"], untracked=["note"]), buckets=3)
         stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/*")
         table.follow(stream, str(tmp_path / f"cp{files}")).awaitTermination()
         assert same(table.read(), want)
@@ -39,7 +40,7 @@ def test_history_table_equals_batch_for_any_batch_split(spark, batches, tmp_path
 
 def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     log = spark.createDataFrame(changes(80, 8), SCHEMA)
-    table = flows.HistoryTable(spark, str(tmp_path), ["k"], buckets=2, untracked=["note"])
+    table = flows.SplicedHistory(spark, str(tmp_path), Splice(["k"], untracked=["note"]), buckets=2)
     first, second = log.where("_source_lsn < 40"), log.where("_source_lsn >= 40")
     for batch, i in ((first, 0), (second, 1), (second, 1)):
         table.apply(batch, i)
@@ -88,8 +89,7 @@ def test_entity_stream_equals_batch(spark, tmp_path, name):
     source = batch.sources(ENTITIES[name].source)
     source.repartition(3).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema)
-    if ENTITIES[name].mode == "scd2":  # records older than the watermark count as late, so a replay of those is one batch
-        stream = stream.option("maxFilesPerTrigger", 1)
+    stream = stream.option("maxFilesPerTrigger", 1)
     live = EntityStream(spark, name, str(tmp_path / "out"), AS_OF, buckets=3)
     for query in live.start(stream.parquet(str(tmp_path / "in"))):
         query.awaitTermination()
