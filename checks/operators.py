@@ -163,11 +163,11 @@ register(
     AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '{_MOMENT}')""",
 )
 
-_CUTS = [datetime(2024, 1, d) for d in (8, 15, 22)]
+_CUTS = [datetime(2024, 1, d) for d in (8, 15, 22, 31)] + [datetime(2024, 3, 1)]  # the last lies after all events
 
 
 def _state_sql(cut: datetime) -> str:
-    return f"""(SELECT user_id, event_type, event_id FROM events WHERE ts < TIMESTAMP '{cut}' AND value > 2
+    return f"""(SELECT user_id, event_type, event_id FROM events WHERE ts < TIMESTAMP '{cut}'
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)"""
 
 
@@ -183,7 +183,7 @@ def _snapshot_sql() -> str:
 
 @checked(_snapshot_sql())
 def snapshot_diff_scd2(spark, sf_dir):
-    events = read(spark, sf_dir, "events").where(F.col("value") > 2)
+    events = read(spark, sf_dir, "events")
     snapshots = []
     for cut in _CUTS:
         state = ordered.latest_by(events.where(F.col("ts") < F.lit(cut).cast("timestamp_ntz")), ["user_id"], ["ts", "event_id"])

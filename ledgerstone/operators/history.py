@@ -159,12 +159,6 @@ def as_of(history: DataFrame, moment: datetime) -> DataFrame:
     return history.where((F.col(START) <= at) & (F.col(END).isNull() | (F.col(END) > at)))
 
 
-def retained(log: DataFrame, moment: datetime, days: int = 7, sequence: str = SEQUENCE) -> DataFrame:
-    """Drop delete markers older than the retention; all other changes stay."""
-    cutoff = F.lit(moment).cast("timestamp") - F.make_dt_interval(F.lit(days))
-    return log.where((F.col(OPERATION) != "DELETE") | (F.col(sequence) >= cutoff))
-
-
 def with_audit_columns(
     frame: DataFrame,
     source_tables: Sequence[str],

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstone.operators.history import AUDIT_COLUMNS, END, OPERATION, SEQUENCE, START, TIE_BREAKS, scd2
 from ledgerstone.operators.ordered import time_chunk, with_last_marked, with_neighbours
+from ledgerstone.session import settle
 
 GONE, AT, FIRST, LAST, NEXT, SIGN = "_gone", "_at", "_first", "_last", "_next", "_sign"
 #: Where a row of a rebuild comes from: a stored run's first row, a new change or a log row, a stored run's last row.
@@ -98,24 +99,25 @@ class Splice:
         touched = fresh.select(*keys).distinct()
         held = stored.join(touched, keys, "left_semi")
         # stored runs by their first row and new changes in one order
+        # each step is computed once and cut off; none is larger than the changes and the runs of their keys
         both = held.select(*payload, GONE, F.col(FIRST).alias(AT), F.struct(LAST, NEXT, GONE, *state).alias("_run")).unionByName(
             fresh.withColumn("_run", F.lit(None)), allowMissingColumns=True
         )
-        is_run = F.col("_run").isNotNull()
+        both, is_run = settle(both), F.col("_run").isNotNull()
         near = with_neighbours(both.withColumn("_is_run", is_run), keys, [AT, "_is_run"], self._chunk(AT), previous=["_is_run"], following=["_is_run"])
         beside = ~F.coalesce(F.col("_previous._is_run"), F.lit(True)) | ~F.coalesce(F.col("_following._is_run"), F.lit(True))
-        affected = near.where(is_run & beside).select(*payload, GONE, F.col(AT).alias(FIRST), F.col(f"_run.{LAST}").alias(LAST), F.col(f"_run.{NEXT}").alias(NEXT))
+        affected = settle(near.where(is_run & beside).select(*payload, GONE, F.col(AT).alias(FIRST), F.col(f"_run.{LAST}").alias(LAST), F.col(f"_run.{NEXT}").alias(NEXT)))
 
         covered = with_last_marked(both, keys, [AT], self._chunk(AT), is_run, F.struct(F.col(AT).alias(FIRST), "_run"), "_cover").where(~is_run)
         inside = (F.col(AT) < F.col(f"_cover._run.{LAST}")) & ~self._same("", "_cover._run.", state)
-        split = covered.where(inside).select(*keys, AT, F.col(f"_cover.{FIRST}").alias("_from"), F.col(f"_cover._run.{LAST}").alias("_to"))
+        split = settle(covered.where(inside).select(*keys, AT, F.col(f"_cover.{FIRST}").alias("_from"), F.col(f"_cover._run.{LAST}").alias("_to")))
         beside_split = self._log_rows(split, log, payload)
 
         last, none = F.col(NEXT), F.lit(None).cast(fresh.schema[AT].dataType)
         ends = F.array(F.struct(F.col(FIRST).alias(AT), F.lit(_HEAD).alias(_KIND), none.alias(_POINTER)), F.struct(F.col(LAST).alias(AT), F.lit(_TAIL).alias(_KIND), last.alias(_POINTER)))
         borders = affected.withColumn("_end", F.explode(ends)).select(*payload, GONE, "_end.*")
         rows = fresh.unionByName(beside_split).withColumns({_KIND: F.lit(_ROW), _POINTER: none})
-        now = self.runs_of_borders(rows.unionByName(borders))
+        now = self.runs_of_borders(settle(rows.unionByName(borders)))
         return now.withColumn(SIGN, F.lit(1)).unionByName(affected.withColumn(SIGN, F.lit(-1)))
 
     def runs_of_borders(self, rows: DataFrame) -> DataFrame:

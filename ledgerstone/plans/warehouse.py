@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerstone.operators.history import OPERATION, scd2_from_snapshots
+from ledgerstone.operators.history import OPERATION
 from ledgerstone.operators.quality import ERROR, PRE_TRANSFORM, compile_rules, quarantined, required_rules
+from ledgerstone.operators.splice import refreshed
 from ledgerstone.plans import silver
 from ledgerstone.plans.contracts import SILVER_CONTRACTS, SOURCE_CONTRACTS
 from ledgerstone.plans.gold import PRODUCTS
@@ -76,22 +77,22 @@ class Warehouse:
             return self.silver(name)
         return self._once("history", name, lambda: silver.publish(name, self.changes(name)))
 
-    def joined_history(self, name: str, moments: Sequence[datetime]) -> DataFrame:
-        """Type 2 history of a joined entity from its complete state at each moment.
+    def at(self, moment: datetime) -> Warehouse:
+        """The same sources as they were ingested up to ``moment``."""
+        limit = F.lit(moment).cast("timestamp")
+        return Warehouse(lambda source: self.sources(source).where(F.col("_ingested_at") <= limit), self.as_of, self.token_key)
+
+    def joined_history(self, name: str, moments: Sequence[datetime], stored: DataFrame | None = None) -> DataFrame:
+        """Type 2 history of a joined entity, refreshed from its complete state at each moment.
 
         A key that a later state lacks, because its source row is gone or no
-        longer passes, closes at that moment.
+        longer passes, closes at that moment. ``stored`` is the history so far; each
+        refresh is one full join of its open versions with the new state.
         """
-        snapshots = []
         for moment in moments:
-            limit = F.lit(moment).cast("timestamp")
-            then = Warehouse(
-                lambda source, limit=limit: self.sources(source).where(F.col("_ingested_at") <= limit),
-                self.as_of,
-                self.token_key,
-            )
-            snapshots.append((moment, then.changes(name)))
-        return scd2_from_snapshots(snapshots, silver.ENTITIES[name].keys)
+            state = self.at(moment).changes(name)
+            stored = settle(refreshed(stored, state, silver.ENTITIES[name].keys, moment))
+        return stored
 
     def dated(self, name: str) -> DataFrame:
         """Rows that carry every date of an entity's history.

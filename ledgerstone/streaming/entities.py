@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerstone.operators.history import END
 from ledgerstone.operators.quality import ERROR, compile_rules, passed, quarantined
-from ledgerstone.operators.splice import Splice
+from ledgerstone.operators.splice import Splice, refreshed
 from ledgerstone.plans.contracts import SILVER_CONTRACTS
 from ledgerstone.plans.silver import APPEND, ENTITIES, JOINED, source_passed, typed
 from ledgerstone.streaming import flows
@@ -58,3 +59,33 @@ class EntityStream:
 
     def refused(self) -> DataFrame:
         return self.spark.read.parquet(self.refused_path).drop(flows.BATCH)
+
+
+class JoinedEntity:
+    """A joined entity's type 2 history below ``root``, refreshed from its complete state.
+
+    Each refresh writes the versions that it closed and the open ones; versions closed
+    before are never read or written again. A refresh that runs again overwrites its own.
+    """
+
+    REFRESH = "_refresh"
+
+    def __init__(self, spark: SparkSession, name: str, root: str) -> None:
+        self.spark, self.name, self.keys = spark, name, ENTITIES[name].keys
+        self.open_path, self.closed_path = f"{root}/{name}/open", f"{root}/{name}/closed"
+
+    def refresh(self, state: DataFrame, at: datetime, number: int) -> None:
+        """Take in the state at ``at``; refreshes are numbered from 0 without a gap."""
+        before = self.spark.read.parquet(f"{self.open_path}/{self.REFRESH}={number - 1}") if number else None
+        versions = refreshed(before, state, self.keys, at)
+        versions.persist()
+        try:
+            versions.where(F.col(END).isNotNull()).write.mode("overwrite").parquet(f"{self.closed_path}/{self.REFRESH}={number}")
+            versions.where(F.col(END).isNull()).write.mode("overwrite").parquet(f"{self.open_path}/{self.REFRESH}={number}")
+        finally:
+            versions.unpersist()
+
+    def read(self, number: int) -> DataFrame:
+        """The history after a refresh."""
+        closed = self.spark.read.parquet(self.closed_path).where(F.col(self.REFRESH) <= number).drop(self.REFRESH)
+        return closed.unionByName(self.spark.read.parquet(f"{self.open_path}/{self.REFRESH}={number}"))

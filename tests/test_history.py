@@ -93,14 +93,6 @@ def test_sequence_falls_back_over_the_clocks(spark):
     assert sorted(str(r._sequence_ts)[:10] for r in history.with_sequence(frame).collect()) == ["2024-01-02", "2024-01-03"]
 
 
-def test_old_delete_markers_expire(spark):
-    log = spark.createDataFrame(
-        [(1, "DELETE", "2024-01-01 00:00:00"), (2, "DELETE", "2024-01-30 00:00:00"), (3, "UPDATE", "2020-01-01 00:00:00")],
-        "k int, _operation string, _sequence_ts string",
-    ).withColumn("_sequence_ts", F.col("_sequence_ts").cast("timestamp"))
-    assert sorted(r.k for r in history.retained(log, datetime(2024, 2, 1)).collect()) == [2, 3]
-
-
 def test_neighbours_and_ordinal_with_one_hot_key(spark):
     rng = random.Random(4)
     rows = [(0 if rng.random() < 0.7 else rng.randrange(3), i, BASE + timedelta(hours=rng.randrange(2000))) for i in range(500)]

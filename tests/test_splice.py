@@ -17,7 +17,7 @@ def no_log(split):
     raise AssertionError("the log is read")
 
 
-@pytest.mark.parametrize("seed, batches, unit", [(1, 4, "month"), (2, 7, "day"), (3, 12, "month")])
+@pytest.mark.parametrize("seed, batches, unit", [(1, 3, "month"), (2, 4, "day")])
 def test_splices_equal_the_whole_log(spark, tmp_path, seed, batches, unit):
     rows = changes(240, seed, keys=5)
     random.Random(seed).shuffle(rows)
@@ -32,23 +32,22 @@ def test_splices_equal_the_whole_log(spark, tmp_path, seed, batches, unit):
 
 
 def test_splice_cases(spark):
-    """Ties, zero-length runs, splits at a run's first and last row, deletes inside and around runs."""
+    """Ties, zero-length runs, splits at a run's first and last row, deletes inside and around runs: one key each."""
     of = splice.Splice(["k"], untracked=["note"])
 
-    def at(*rows):
-        return spark.createDataFrame([(1, v, n, op, BASE + timedelta(hours=h), lsn) for v, n, op, h, lsn in rows], SCHEMA)
+    def at(rows):
+        return spark.createDataFrame([(k, v, n, op, BASE + timedelta(hours=h), lsn) for k, (v, n, op, h, lsn) in rows], SCHEMA)
 
     first = [("a", "1", "U", 1, 1), ("a", "2", "U", 2, 1), ("a", "3", "U", 3, 1), ("b", "4", "U", 3, 2), ("a", "5", "U", 3, 3), ("a", "6", "DELETE", 5, 1), ("a", "7", "U", 8, 1), ("a", "8", "U", 9, 1)]
-    for new in (
+    cases = [
         [("c", "x", "U", 1, 2)], [("c", "x", "U", 2, 2)], [("c", "x", "U", 2, 0), ("a", "y", "U", 2, 2)], [("a", "x", "U", 6, 1)], [("a", "x", "DELETE", 8, 2)], [("a", "x", "U", 2, 3)],
-        [("c", "x", "U", 0, 1), ("c", "y", "U", 99, 1)], [("b", "x", "U", 3, 4)], [("a", "x", "DELETE", 4, 1), ("b", "y", "U", 4, 2)], [("a", "x", "U", 3, 2)],
-    ):
-        stored = of.runs(of.rows(at(*first))).withColumns({"_batch": F.lit(0), "_sign": F.lit(1)})
-        signed = of.spliced(splice.live(stored, ["k"], "_batch"), at(*new), lambda split: of.rows(at(*first)))
-        after = splice.live(stored.unionByName(signed.withColumn("_batch", F.lit(1))), ["k"], "_batch")
-        rows = [*first, *new] if new[0][3:] != (3, 2) else [r for r in first if r[3:] != (3, 2)] + new
-        if new[0][3:] != (3, 2):  # two rows of one order have no order between them
-            assert same(of.versions(after), history.scd2(at(*rows), ["k"], untracked=["note"])), new
+        [("c", "x", "U", 0, 1), ("c", "y", "U", 99, 1)], [("b", "x", "U", 3, 4)], [("a", "x", "DELETE", 4, 1), ("b", "y", "U", 4, 2)], [("c", "x", "U", 1, 0), ("b", "y", "U", 9, 0), ("a", "z", "U", 9, 2)],
+    ]
+    old, new = [(k, r) for k in range(len(cases)) for r in first], [(k, r) for k, case in enumerate(cases) for r in case]
+    stored = of.runs(of.rows(at(old))).withColumns({"_batch": F.lit(0), "_sign": F.lit(1)})
+    signed = of.spliced(splice.live(stored, ["k"], "_batch"), at(new), lambda split: of.rows(at(old)))
+    after = splice.live(stored.unionByName(signed.withColumn("_batch", F.lit(1))), ["k"], "_batch")
+    assert same(of.versions(after), history.scd2(at(old + new), ["k"], untracked=["note"]))
 
 
 def test_changes_in_order_never_read_the_log(spark, tmp_path):
@@ -93,7 +92,7 @@ def test_retention_closes_and_reopens_nothing(spark):
     assert sorted(r._source_lsn for r in fine.collect()) == [4, 5] and [r._source_lsn for r in late.collect()] == [3]
 
 
-@pytest.mark.parametrize("seed, files", [(1, 1), (2, 2), (3, 10)])
+@pytest.mark.parametrize("seed, files", [(1, 3), (3, 10)])
 def test_late_rows_are_kept_apart_and_counted(spark, tmp_path, seed, files):
     rng = random.Random(seed)
     rows = [(rng.randrange(120), BASE + timedelta(days=rng.randrange(40)), i) for i in range(400)] + [(500, None, 0), (None, BASE, 1), (None, BASE, 2)]

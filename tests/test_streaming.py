@@ -106,6 +106,23 @@ def test_joined_entities_have_no_stream(spark, tmp_path):
         EntityStream(spark, "ip_individual", str(tmp_path), datetime(2024, 1, 1))
 
 
+def test_joined_entity_is_refreshed_from_its_last_state(spark, tmp_path):
+    from checks.estate import AS_OF, CHECK_KEY, spark_source
+    from checks.products import MOMENTS
+    from ledgerstone.plans.warehouse import Warehouse
+    from ledgerstone.streaming.entities import JoinedEntity
+
+    w = Warehouse(spark_source(spark, "/root/testdata/sf0.001"), AS_OF, CHECK_KEY)
+    live = JoinedEntity(spark, "arr_banking_arrangement", str(tmp_path))
+    for i, moment in enumerate(MOMENTS):
+        state = w.at(moment).changes(live.name)
+        live.refresh(state, moment, i)
+        live.refresh(state, moment, i)
+    got = live.read(len(MOMENTS) - 1)
+    assert {"__START_AT", "__END_AT"} <= set(got.columns) and got.count() > 0
+    assert same(got, w.joined_history(live.name, MOMENTS))
+
+
 def test_new_checkpoint_over_old_output_is_refused(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "in"))
 
