@@ -94,8 +94,12 @@ def test_entity_stream_equals_batch(spark, tmp_path, name):
     for query in live.start(stream.parquet(str(tmp_path / "in"))):
         query.awaitTermination()
     want = batch.history(name)
-    got = live.read()
+    # records that came later than the watermark stand apart, counted; with them the answer is the batch answer
+    got = live.table.reconciled() if ENTITIES[name].mode == "append" else live.read()
     assert same(got.select(want.columns), want)
+    if ENTITIES[name].mode == "append":
+        counts = live.table.counts().agg(F.sum("rows"), F.sum("accepted"), F.sum("late"), F.sum("repeated")).first()
+        assert counts[0] == sum(counts[1:]) and counts[1] == live.read().count()
     assert live.refused().count() == batch.quarantine(name).count()
 
 
