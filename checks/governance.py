@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 
 from checks.catalogue import register
@@ -32,10 +30,7 @@ def _violation(rule, child, child_key, parent, parent_key, details, source) -> s
 
 def _fk(spark, sf_dir) -> DataFrame:
     w = warehouse(spark, sf_dir)
-    return reduce(
-        DataFrame.unionByName,
-        [dependencies.missing_parents(r, w.silver(r.child), w.silver(r.parent), AS_OF) for r in dependencies.RELATIONS],
-    )
+    return dependencies.all_missing_parents(dependencies.RELATIONS, w.silver, AS_OF)
 
 
 _FK_SQL = " UNION ALL ".join(
@@ -127,17 +122,23 @@ register(
         + [_dup_sql(f"gold_{p}", p, audits.NATURAL_KEYS[p]) for p in ALL]
     ),
 )
-_NULLABLE = {"fact_application_document": ["document_id", "customer_id"], "fact_arrangement_current": ["customer_id", "organisation_id"]}
+_NULLABLE = {"fact_application_document": ["customer_id"], "fact_arrangement_current": ["customer_id", "organisation_id"]}
+
+
+def _null_keys(spark, sf_dir):
+    """Natural keys of all products, and keys that may be null, from one scan of each product."""
+    w = warehouse(spark, sf_dir, frozenset(ALL))
+    return audits.profiles(w, required=_NULLABLE).where("audit_id = 'NULL_KEY'")
+
+
 register(
     "audit_null_keys",
-    lambda spark, sf_dir: (
-        lambda w: audit.together(audit.null_keys(w.gold(p), p, keys) for p, keys in _NULLABLE.items())
-    )(warehouse(spark, sf_dir)),
+    _null_keys,
     _union(
         [
             _sql("NULL_KEY", p, f"'{k}'", "n", f"(SELECT count(*) AS n FROM gold_{p} WHERE {k} IS NULL) WHERE n > 0")
-            for p, keys in _NULLABLE.items()
-            for k in keys
+            for p in ALL
+            for k in [*audits.NATURAL_KEYS[p], *_NULLABLE.get(p, [])]
         ]
     ),
 )
@@ -237,13 +238,32 @@ _VALUES = (
     ("app_stage_history", "pending_action_party", ("CUSTOMER", "INTERNAL_TEAM", "DIRECTOR")),
     ("app_status_change", "new_status", ("VIEW", "ACCEPTED")),
 )
+
+
+def _unexpected(spark, sf_dir):
+    """Declared values on rows before and after the rules, other lists on current rows."""
+    w = warehouse(spark, sf_dir)
+    parts = [audit.unexpected_values(w.silver(e), e, c, ok) for e, c, ok in _VALUES]
+    for e, accepted in audits.ACCEPTED_VALUES.items():
+        for stage, frame in (("built", w.built(e)), ("current", w.silver(e))):
+            parts.append(audit.profile(frame, f"{stage} {e}", [], accepted=accepted))
+    return audit.together(parts)
+
+
+_DECLARED = {
+    "app_application": ("final_outcome", "ACCEPTED APPROVED CANCELLED DENIED PENDING REJECTED WITHDRAWN"),
+    "evt_service_case": ("status", "OPEN IN_PROGRESS RESOLVED CLOSED"),
+}
 register(
     "audit_unexpected_values",
-    lambda spark, sf_dir: (
-        lambda w: audit.together(audit.unexpected_values(w.silver(e), e, c, ok) for e, c, ok in _VALUES)
-    )(warehouse(spark, sf_dir)),
+    _unexpected,
     _union(
         [_sql("UNEXPECTED_VALUE", e, f"'{c}=' || {c}", "n", f"(SELECT {c}, count(*) AS n FROM cur_{e} WHERE {c} NOT IN {ok} GROUP BY ALL)") for e, c, ok in _VALUES]
+        + [
+            _sql("UNEXPECTED_VALUE", f"{stage} {e}", f"'{c}=' || {c}", "n", f"(SELECT {c}, count(*) AS n FROM {view}_{e} WHERE upper({c}) NOT IN {tuple(ok.split())} GROUP BY ALL)")
+            for e, (c, ok) in _DECLARED.items()
+            for stage, view in (("built", "raw"), ("current", "cur"))
+        ]
     ),
 )
 _TPCH = {

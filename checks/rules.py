@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.catalogue import register
 from checks.estate import AS_OF, cents, day, later, money, read, second, text
 from ledgerstone.operators.quality import failed_rules
-from ledgerstone.operators.rules import GROUP_RULES, REFERENCE_RULES, row_rule, violations
+from ledgerstone.operators.rules import GROUP_RULES, Reference, judged, row_rule, violations
 from ledgerstone.operators.rules import populations as pop
 from ledgerstone.operators.rules.files import FILE_RULES
 
@@ -340,34 +340,40 @@ def _references(spark, sf_dir):
         read(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "events", "part")
     )
     lines = lines.withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("bigint")))
-    line = {"key": ["line"], "pairs": [("l_orderkey", "o_orderkey")]}
     listed = orders.select("o_orderkey", "o_custkey", F.to_json(F.array(F.col("o_custkey").cast("string"), (F.col("o_custkey") + 700).cast("string"))).alias("party_list"))
-    people = customers.select(F.col("c_custkey").cast("string").alias("id"), "c_nationkey", "c_custkey")
-    declared = orders.select("o_orderkey", (F.col("o_custkey") % 7).cast("string").alias("declared"))
-
-    def go(name, a, b, **spec):
-        return REFERENCE_RULES[name](a, b, {"type": name, **spec})
-
-    counts = {"parent_key": "o_orderkey", "child_key": "l_orderkey", "declared": "declared", "key": ["o_orderkey"]}
-    return _union(
-        [
-            go("FOREIGN_KEY_IF_PRESENT", events, suppliers, key=["event_id"], pairs=[("user_id", "s_suppkey")]),
-            go("REFERENCE_PAIR_CONSISTENT", lines, orders.withColumn("day", F.date_add(F.col("o_orderdate").cast("date"), 5)), key=["line"], pairs=[("l_orderkey", "o_orderkey"), ("l_shipdate", "day")]),
-            go("REFERENCE_TRIPLE_CONSISTENT", lines, lines.where(F.col("l_tax") > 0.01), key=["line"], pairs=[("l_orderkey", "l_orderkey"), ("l_partkey", "l_partkey"), ("l_suppkey", "l_suppkey")]),
-            go("REFERENCE_CONDITION", lines, orders, **line, parent_columns=["o_orderstatus"], condition="parent_o_orderstatus <> 'P'"),
-            go("REFERENCE_CONDITION_FOR_VALUES", lines, orders, **line, when={"column": "l_returnflag", "in": ["R"]}, parent_columns=["o_orderstatus"], condition="parent_o_orderstatus = 'F'"),
-            go("REFERENCE_RELATIONSHIP_EXISTS_IF_PRESENT", orders, customers, key=["o_orderkey"], pairs=[("o_custkey", "c_custkey")], parent_where="c_acctbal > 0"),
-            go("REFERENCE_TIMESTAMP_COMPARISON", lines, orders, **line, left="l_shipdate", op=">", right="o_orderdate"),
-            go("REFERENCE_COLUMN_EQUAL_IF_BOTH_PRESENT", lines, orders, **line, left="l_linestatus", right="o_orderstatus"),
-            go("CHILD_ROW_COUNT_MATCH", declared, lines, **counts),
-            go("PARENT_DECLARED_CHILD_COUNT_MATCH", lines, declared, **counts),
-            go("CHILD_FOREIGN_KEY_INTEGRITY", events, suppliers, key=["event_id"], pairs=[("user_id", "s_suppkey")]),
-            go("CHILD_REFERENCE_CUSTOMER_CONSISTENCY", orders, customers, key=["o_orderkey"], pairs=[("o_custkey", "c_custkey")], left="o_orderkey", right="c_custkey"),
-            go("PARENT_REFERENCE_USAGE", parts.select("p_partkey"), lines, parent_key="p_partkey", child_key="l_partkey"),
-            go("JSON_ARRAY_FOREIGN_KEY", listed, people, key=["o_orderkey"], column="party_list", parent_key="id"),
-            go("JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY", listed, people, key=["o_orderkey"], column="party_list", parent_key="id", left="o_custkey", right="c_custkey"),
-        ]
-    )
+    tables = {
+        "lines": lines, "orders": orders, "customers": customers, "suppliers": suppliers, "events": events, "parts": parts.select("p_partkey"), "listed": listed,
+        "shipped": orders.select("o_orderkey", F.date_add(F.col("o_orderdate").cast("date"), 5).alias("day")),
+        "taxed": lines.where(F.col("l_tax") > 0.01).select("l_orderkey", "l_partkey", "l_suppkey"),
+        "people": customers.select(F.col("c_custkey").cast("string").alias("id"), "c_nationkey", "c_custkey"),
+        "declared": orders.select("o_orderkey", (F.col("o_custkey") % 7).cast("string").alias("declared")),
+    }
+    return judged(tables, REFERENCES)
+
+
+_OF_ORDER = {"key": ["line"], "pairs": [("l_orderkey", "o_orderkey")]}
+_OF_CUSTOMER = {"key": ["o_orderkey"], "pairs": [("o_custkey", "c_custkey")]}
+_OF_USER = {"key": ["event_id"], "pairs": [("user_id", "s_suppkey")]}
+_COUNTS = {"parent_key": "o_orderkey", "child_key": "l_orderkey", "declared": "declared", "key": ["o_orderkey"]}
+_PARTIES = {"key": ["o_orderkey"], "column": "party_list", "parent_key": "id"}
+_TRIPLE = [(c, c) for c in ("l_orderkey", "l_partkey", "l_suppkey")]
+REFERENCES = [
+    Reference("FOREIGN_KEY_IF_PRESENT", "events", "suppliers", _OF_USER),
+    Reference("REFERENCE_PAIR_CONSISTENT", "lines", "shipped", {"key": ["line"], "pairs": [("l_orderkey", "o_orderkey"), ("l_shipdate", "day")]}),
+    Reference("REFERENCE_TRIPLE_CONSISTENT", "lines", "taxed", {"key": ["line"], "pairs": _TRIPLE}),
+    Reference("REFERENCE_CONDITION", "lines", "orders", {**_OF_ORDER, "parent_columns": ["o_orderstatus"], "condition": "parent_o_orderstatus <> 'P'"}),
+    Reference("REFERENCE_CONDITION_FOR_VALUES", "lines", "orders", {**_OF_ORDER, "when": {"column": "l_returnflag", "in": ["R"]}, "parent_columns": ["o_orderstatus"], "condition": "parent_o_orderstatus = 'F'"}),
+    Reference("REFERENCE_RELATIONSHIP_EXISTS_IF_PRESENT", "orders", "customers", {**_OF_CUSTOMER, "parent_where": "c_acctbal > 0"}),
+    Reference("REFERENCE_TIMESTAMP_COMPARISON", "lines", "orders", {**_OF_ORDER, "left": "l_shipdate", "op": ">", "right": "o_orderdate"}),
+    Reference("REFERENCE_COLUMN_EQUAL_IF_BOTH_PRESENT", "lines", "orders", {**_OF_ORDER, "left": "l_linestatus", "right": "o_orderstatus"}),
+    Reference("CHILD_ROW_COUNT_MATCH", "declared", "lines", _COUNTS),
+    Reference("PARENT_DECLARED_CHILD_COUNT_MATCH", "lines", "declared", _COUNTS),
+    Reference("CHILD_FOREIGN_KEY_INTEGRITY", "events", "suppliers", _OF_USER),
+    Reference("CHILD_REFERENCE_CUSTOMER_CONSISTENCY", "orders", "customers", {**_OF_CUSTOMER, "left": "o_orderkey", "right": "c_custkey"}),
+    Reference("PARENT_REFERENCE_USAGE", "parts", "lines", {"parent_key": "p_partkey", "child_key": "l_partkey"}),
+    Reference("JSON_ARRAY_FOREIGN_KEY", "listed", "people", _PARTIES),
+    Reference("JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY", "listed", "people", {**_PARTIES, "left": "o_custkey", "right": "c_custkey"}),
+]
 
 
 _LINE = """(SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS line FROM lineitem)"""

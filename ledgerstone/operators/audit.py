@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -52,6 +53,25 @@ def null_keys(frame: DataFrame, entity: str, keys: Sequence[str]) -> DataFrame:
     return _rows(broken, "NULL_KEY", entity, F.col("k.column"), F.col("k.nulls"))
 
 
+def profile(frame: DataFrame, entity: str, keys: Sequence[str], required: Sequence[str] = (), accepted: Mapping[str, Sequence[str]] = MappingProxyType({})) -> DataFrame:
+    """Repeated keys, null ``required`` columns and values that are not ``accepted``, in one scan.
+
+    Each row names what it adds to: its key, its null columns, its unexpected values; one
+    count, combined on the map side, then answers all checks. Letters' case does not matter
+    to accepted values; nulls are not judged there.
+    """
+    entries = [F.struct(F.lit("DUPLICATE_KEY").alias("audit"), F.to_json(F.struct(*keys)).alias("ident"), _key(keys).alias("record_key"))] if keys else []
+    for c in required:
+        entries.append(F.when(F.col(c).isNull(), F.struct(F.lit("NULL_KEY").alias("audit"), F.lit(c).alias("ident"), F.lit(c).alias("record_key"))))
+    for c, values in accepted.items():
+        shown = F.concat_ws("=", F.lit(c), F.col(c))
+        stray = F.col(c).isNotNull() & ~F.upper(c).isin(*[v.upper() for v in values])
+        entries.append(F.when(stray, F.struct(F.lit("UNEXPECTED_VALUE").alias("audit"), shown.alias("ident"), shown.alias("record_key"))))
+    named = frame.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    counted = named.groupBy("audit", "ident", "record_key").count().where("audit <> 'DUPLICATE_KEY' OR count > 1")
+    return counted.select(F.col("audit").alias("audit_id"), F.lit(entity).alias("entity_name"), "record_key", F.col("count").alias("observed"))
+
+
 def hard_failed(frame: DataFrame, entity: str, keys: Sequence[str]) -> DataFrame:
     bad = frame.where(~F.coalesce(F.col("dq_status") == "PASSED", F.lit(False)))
     return _rows(bad, "HARD_FAILED_ROW", entity, _key(keys), F.lit(1))

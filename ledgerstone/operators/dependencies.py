@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstone.operators.joins import lookup, orphans
 from ledgerstone.operators.ordered import time_chunk, with_neighbours
+from ledgerstone.session import settle
 
 GRACE_HOURS = 24
 
@@ -91,6 +93,15 @@ def _joined_key(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
+def all_missing_parents(relations: Sequence[Relation], current: Callable[[str], DataFrame], as_of: datetime) -> DataFrame:
+    """``missing_parents`` of many relations; the keys of a parent that several share are computed once."""
+    columns = {r.parent: sorted({p for o in relations if o.parent == r.parent for _, p in o.pairs}) for r in relations}
+    shared = [p for p in columns if sum(r.parent == p for r in relations) > 1]
+    parents = {p: current(p).select(*c).distinct() for p, c in columns.items()}
+    parents |= {p: settle(parents[p]) for p in shared}
+    return reduce(DataFrame.unionByName, [missing_parents(r, current(r.child), parents[r.parent], as_of) for r in relations])
+
+
 def missing_parents(
     relation: Relation, child: DataFrame, parent: DataFrame, as_of: datetime, hours: int = GRACE_HOURS
 ) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerstone.operators.joins import orphans
+from ledgerstone.operators.joins import lookup, orphans
 from ledgerstone.operators.rules.groups import found, keyed
 from ledgerstone.operators.rules.rows import _OPERATORS, condition
 
@@ -121,3 +123,125 @@ def json_items_agree(child: DataFrame, parent: DataFrame, spec: Spec) -> DataFra
     both = _met(rows, parent, {**spec, "pairs": [("_item", spec["parent_key"])], "parent_columns": [spec["right"]]})
     wrong = both.where(F.col(spec["left"]) != F.col(f"parent_{spec['right']}"))
     return found(wrong, spec, keyed([*spec["key"], "_item"]), F.lit(1))
+
+
+# --- many rules over one pair of data sets: one scan and one join a pair
+
+#: Rule types that a joined row decides: what must hold of a child row and its parent.
+_EXISTENCE = {
+    "FOREIGN_KEY_IF_PRESENT", "REFERENCE_PAIR_CONSISTENT", "REFERENCE_TRIPLE_CONSISTENT", "REFERENCE_RELATIONSHIP_EXISTS_IF_PRESENT",
+    "CHILD_FOREIGN_KEY_INTEGRITY", "JSON_ARRAY_FOREIGN_KEY",
+}
+_CONDITION = {"REFERENCE_CONDITION", "REFERENCE_CONDITION_FOR_VALUES"}
+_TIME = {"REFERENCE_TIMESTAMP_COMPARISON"}
+_EQUAL = {"REFERENCE_COLUMN_EQUAL_IF_BOTH_PRESENT", "CHILD_REFERENCE_CUSTOMER_CONSISTENCY", "JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY"}
+_ITEMS = {"JSON_ARRAY_FOREIGN_KEY", "JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY"}
+_COUNTS = {"CHILD_ROW_COUNT_MATCH", "PARENT_DECLARED_CHILD_COUNT_MATCH"}
+_THERE, _FAILED = "_there", "_failed"
+
+
+@dataclass(frozen=True)
+class Reference:
+    """One declared rule between two named data sets. ``child`` is the first argument of its single form."""
+
+    type: str
+    child: str
+    parent: str
+    spec: Spec
+
+
+def _pairs(rule: Reference) -> tuple[tuple[str, str], ...]:
+    return (("_item", rule.spec["parent_key"]),) if rule.type in _ITEMS else tuple(rule.spec["pairs"])
+
+
+def _group(rule: Reference) -> tuple:
+    """Rules of one group share a join: the same data sets, keys and, for lists, list column."""
+    if rule.type in _COUNTS:
+        declared, counted = (rule.child, rule.parent) if rule.type == "CHILD_ROW_COUNT_MATCH" else (rule.parent, rule.child)
+        return ("counts", declared, counted, rule.spec["parent_key"], rule.spec["child_key"])
+    return ("join", rule.child, rule.parent, _pairs(rule), rule.spec["column"] if rule.type in _ITEMS else None)
+
+
+def _parent_columns(rule: Reference) -> list[str]:
+    if rule.type in _CONDITION:
+        return list(rule.spec["parent_columns"])
+    return [rule.spec["right"]] if rule.type in _TIME | _EQUAL else []
+
+
+def _broken(rule: Reference, number: int) -> Column:
+    """Whether a joined row breaks the rule; rows with an incomplete key are not judged."""
+    spec, there = rule.spec, F.coalesce(F.col(_THERE), F.lit(False))
+    if rule.type in _EXISTENCE:
+        whole = F.lit(True)
+        for child, _ in _pairs(rule):
+            whole = whole & F.col(child).isNotNull()
+        return whole & ~F.coalesce(F.col(f"_met_{number}"), F.lit(False))
+    if rule.type in _CONDITION:
+        asked = condition(spec["when"]) if "when" in spec else F.lit(True)
+        return there & F.coalesce(asked, F.lit(False)) & ~F.coalesce(F.expr(spec["condition"]), F.lit(False))
+    if rule.type in _TIME:
+        left, right = (F.col(c).try_cast("timestamp") for c in (spec["left"], f"parent_{spec['right']}"))
+        return there & ~_OPERATORS[spec["op"]](left, right)
+    return there & (F.col(spec["left"]) != F.col(f"parent_{spec['right']}"))
+
+
+def _key_of(rule: Reference) -> Column:
+    return keyed([*rule.spec["key"], "_item"] if rule.type in _ITEMS else rule.spec["key"])
+
+
+def _failures(rules: Sequence[Reference], broken: Sequence[Column], key: Callable[[Reference], Column], observed: Column) -> Column:
+    """Array of the rules that a row breaks."""
+    rows = [
+        F.when(b, F.struct(F.lit(r.type).alias("rule_type"), key(r).alias("record_key"), observed.cast("bigint").alias("observed"))) for r, b in zip(rules, broken)
+    ]
+    return F.array_compact(F.array(*rows))
+
+
+def _judged_by_join(child: DataFrame, parent: DataFrame, rules: Sequence[Reference]) -> DataFrame:
+    pairs = _pairs(rules[0])
+    wanted = sorted({c for r in rules for c in _parent_columns(r)})
+    met = {f"_met_{i}": F.expr(r.spec.get("parent_where", "true")) for i, r in enumerate(rules) if r.type in _EXISTENCE}
+    side = parent.select(*[F.col(p).alias(c) for c, p in pairs], *[F.col(c).alias(f"parent_{c}") for c in wanted], *[m.alias(n) for n, m in met.items()], F.lit(True).alias(_THERE))
+    names = [c for c, _ in pairs]
+    if not wanted:  # existence alone does not ask for one parent row a key
+        side = side.groupBy(*names).agg(*[F.bool_or(n).alias(n) for n in met], F.lit(True).alias(_THERE))
+    if rules[0].type in _ITEMS:
+        kept = sorted({c for r in rules for c in [*r.spec["key"], *([r.spec["left"]] if "left" in r.spec else [])]})
+        items = F.explode(F.from_json(rules[0].spec["column"], "array<string>")).alias("_item")
+        child = child.select(*kept, items).where(F.col("_item").isNotNull())
+    joined = lookup(child, side, names)
+    broken = [_broken(r, i) for i, r in enumerate(rules)]
+    return joined.select(_failures(rules, broken, _key_of, F.lit(1)).alias(_FAILED))
+
+
+def _judged_by_count(declared: DataFrame, counted: DataFrame, rules: Sequence[Reference]) -> DataFrame:
+    spec = rules[0].spec
+    parent_key, child_key = spec["parent_key"], spec["child_key"]
+    children = counted.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias(parent_key)).agg(F.count("*").alias("_children"))
+    both = declared.join(children, parent_key, "left")
+    number = F.coalesce("_children", F.lit(0))
+    wrong = [
+        (F.col(r.spec["declared"]).try_cast("bigint") != number) & (F.lit(True) if r.type == "CHILD_ROW_COUNT_MATCH" else F.col("_children").isNotNull()) for r in rules
+    ]
+    key = lambda r: keyed(r.spec["key"] if r.type == "CHILD_ROW_COUNT_MATCH" else [parent_key])
+    return both.select(_failures(rules, wrong, key, number).alias(_FAILED))
+
+
+def judged(tables: Mapping[str, DataFrame], rules: Sequence[Reference]) -> DataFrame:
+    """(rule_type, record_key, observed) of every broken rule, from one join for each pair of data sets and keys.
+
+    Parents whose columns a rule reads are unique per key. Types that no joined row
+    decides run in their single form.
+    """
+    groups: dict[tuple, list[Reference]] = {}
+    parts = []
+    for rule in rules:
+        if rule.type in _EXISTENCE | _CONDITION | _TIME | _EQUAL | _COUNTS:
+            groups.setdefault(_group(rule), []).append(rule)
+        else:
+            parts.append(REFERENCE_RULES[rule.type](tables[rule.child], tables[rule.parent], {"type": rule.type, **rule.spec}))
+    for (kind, first, second, *_), members in groups.items():
+        judge = _judged_by_count if kind == "counts" else _judged_by_join
+        failed = judge(tables[first], tables[second], members).where(F.size(_FAILED) > 0)
+        parts.append(failed.select(F.explode(_FAILED).alias("f")).select("f.*"))
+    return reduce(DataFrame.unionByName, parts)

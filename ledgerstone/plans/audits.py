@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, functions as F
@@ -61,6 +63,12 @@ RECONCILED = (
     ("evt_service_case", "fact_service_case_current", "case_id", "case_id"),
 )
 
+# What coded columns may hold, whatever the case of their letters.
+ACCEPTED_VALUES = {
+    "app_application": {"final_outcome": ("ACCEPTED", "APPROVED", "CANCELLED", "DENIED", "PENDING", "REJECTED", "WITHDRAWN")},
+    "evt_service_case": {"status": ("OPEN", "IN_PROGRESS", "RESOLVED", "CLOSED")},
+}
+
 TIMELINE_PARTS = {
     "app_stage_history": "history_id",
     "app_status_change": "change_id",
@@ -72,6 +80,11 @@ def duplicates(w: Warehouse, products=tuple(NATURAL_KEYS)) -> DataFrame:
     return audit.together(audit.duplicate_keys(w.gold(p), p, NATURAL_KEYS[p]) for p in products)
 
 
+def profiles(w: Warehouse, products=tuple(NATURAL_KEYS), required: Mapping[str, Sequence[str]] = MappingProxyType({})) -> DataFrame:
+    """Repeated natural keys, null key columns and null ``required`` columns, one scan of each product."""
+    return audit.together(audit.profile(w.gold(p), p, NATURAL_KEYS[p], [*NATURAL_KEYS[p], *required.get(p, ())]) for p in products)
+
+
 def null_keys(w: Warehouse, products=tuple(NATURAL_KEYS)) -> DataFrame:
     return audit.together(audit.null_keys(w.gold(p), p, NATURAL_KEYS[p]) for p in products)
 
