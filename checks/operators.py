@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from checks import oracle as o
 from checks.catalogue import checked, register
 from checks.estate import AS_OF, CHECK_KEY, read
 from ledgerstone import functions as fn
+from ledgerstone.session import shared_folder
 from ledgerstone.operators import derive, history, joins, ordered, quality
 from ledgerstone.operators.quality import ERROR, WARNING, Contract, Rule
 from ledgerstone.plans.gold import calendar
@@ -272,6 +274,16 @@ _METRICS = " UNION ALL ".join(
     for r in _ORDER_RULES.rules
 )
 register("dq_metrics", lambda s, d: quality.rule_metrics(read(s, d, "orders"), _ORDER_RULES, AS_OF), _METRICS)
+
+
+def _metrics_while_writing(spark, sf_dir):
+    """The same numbers, counted while the rows are written, without a scan of their own."""
+    rows, metrics = quality.observed(read(spark, sf_dir, "orders"), _ORDER_RULES, AS_OF)
+    rows.write.parquet(f"{shared_folder(spark)}/metrics-{uuid.uuid4().hex}")
+    return metrics()
+
+
+register("dq_metrics_while_writing", _metrics_while_writing, _METRICS)
 register(
     "dq_quality_by_dimension",
     lambda s, d: quality.quality_by_dimension(quality.rule_metrics(read(s, d, "orders"), _ORDER_RULES, AS_OF)),

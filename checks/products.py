@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession, functions as F
 from checks.catalogue import register
 from checks.estate import AS_OF, CHECK_KEY, spark_source
 from checks.oracle import compose, hard_rules, raw, scd2_sql
+from ledgerstone.plans import listings
 from ledgerstone.plans.gold import PRODUCTS
 from ledgerstone.plans.silver import (
     BANKING_ACCOUNT,
@@ -95,3 +96,19 @@ for _name in ENTITIES:
     register(f"quarantine_{_name}", _failures(_name), _failures_sql(_name))
 for _name in PRODUCTS:
     register(_name, _product(_name), compose(f"SELECT * FROM gold_{_name}"))
+register(
+    "listing_application_lifecycle",
+    lambda spark, sf_dir: listings.application_lifecycle(warehouse(spark, sf_dir)),
+    compose(
+        """SELECT a.application_id, a.final_outcome, s.stage, s.entered_at, s.exited_at, s.assigned_team, s.pending_action_party, c.old_status, c.new_status, c.reason
+        FROM cur_app_application a LEFT JOIN cur_app_stage_history s USING (application_id) LEFT JOIN cur_app_status_change c USING (application_id)"""
+    ),
+)
+register(
+    "listing_case_events",
+    lambda spark, sf_dir: listings.case_events(warehouse(spark, sf_dir)),
+    compose(
+        """SELECT c.case_id, c.case_type, c.priority, c.sla_deadline, c.organisation_id, o.business_name, e.event_type, e.event_timestamp, e.description
+        FROM cur_evt_service_case c LEFT JOIN cur_ip_organisation o USING (organisation_id) LEFT JOIN cur_evt_case_event e USING (case_id)"""
+    ),
+)

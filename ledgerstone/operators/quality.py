@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 ERROR, WARNING = "error", "warning"
 PRE_TRANSFORM, POST_TRANSFORM = "PRE_TRANSFORM", "POST_TRANSFORM"
@@ -161,15 +161,38 @@ def quarantined(
     )
 
 
+def _rule_counts(compiled: Mapping[str, str | Column]) -> list[Column]:
+    """How many rows there are and how many pass each rule, as aggregates."""
+    passing = [F.count_if(F.coalesce(_verdict(p), F.lit(False))).alias(f"p{i}") for i, p in enumerate(compiled.values())]
+    return [F.count("*").alias("total"), *passing]
+
+
+def observed(frame: DataFrame, contract: Contract, as_of: datetime | None = None) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The frame, and its rule metrics once it has been written: counted on the way, without a scan of their own.
+
+    Works on a batch and on a micro-batch of a stream. The metrics wait for the write;
+    ask for them after it.
+    """
+    counts = Observation()
+    compiled = compile_rules(contract, ERROR, as_of) | compile_rules(contract, WARNING, as_of)
+
+    def metrics() -> DataFrame:
+        totals = counts.get
+        names = ["total", *[f"p{i}" for i in range(len(compiled))]]
+        row = frame.sparkSession.range(1).select(*[F.lit(totals[n]).cast("bigint").alias(n) for n in names])
+        return _metric_rows(row, contract, compiled)
+
+    return frame.observe(counts, *_rule_counts(compiled)), metrics
+
+
 def rule_metrics(frame: DataFrame, contract: Contract, as_of: datetime | None = None) -> DataFrame:
     """Passed and failed rows per rule, in one scan and one small aggregate."""
-    rules = {r.id: r for r in contract.rules}
     compiled = compile_rules(contract, ERROR, as_of) | compile_rules(contract, WARNING, as_of)
-    counts = [
-        F.count_if(F.coalesce(F.expr(compiled[name]), F.lit(False))).alias(f"p{i}")
-        for i, name in enumerate(compiled)
-    ]
-    totals = frame.agg(F.count("*").alias("total"), *counts)
+    return _metric_rows(frame.agg(*_rule_counts(compiled)), contract, compiled)
+
+
+def _metric_rows(totals: DataFrame, contract: Contract, compiled: Mapping[str, str | Column]) -> DataFrame:
+    rules = {r.id: r for r in contract.rules}
     rows = F.explode(
         F.array(
             *[
@@ -301,25 +324,3 @@ def with_contract_metadata(frame: DataFrame, contract: Contract, as_of: datetime
             "quality_evaluated_at": F.lit(as_of).cast("timestamp"),
         }
     )
-
-
-def inject_defects(
-    frame: DataFrame, key: str, null_columns: Sequence[str] = (), orphan_column: str | None = None,
-    outlier_column: str | None = None, null_rate: float = 0.02, outlier_rate: float = 0.01, orphan_rate: float = 0.005,
-) -> DataFrame:
-    """Make a dirty copy for tests: a fixed share of rows, chosen by key hash, gets each defect."""
-
-    def chosen(salt: str, rate: float) -> Column:
-        bucket = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1_000_000))
-        return bucket < int(rate * 1_000_000)
-
-    changes = {c: F.when(~chosen(f"null:{c}", null_rate), F.col(c)) for c in null_columns}
-    if outlier_column:
-        changes[outlier_column] = F.when(
-            chosen("outlier", outlier_rate), F.col(outlier_column) * 1000
-        ).otherwise(F.col(outlier_column))
-    if orphan_column:
-        changes[orphan_column] = F.when(
-            chosen("orphan", orphan_rate), F.lit(-1).cast("bigint")
-        ).otherwise(F.col(orphan_column))
-    return frame.withColumns(changes)

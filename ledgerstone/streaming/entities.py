@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerstone.operators.history import END
-from ledgerstone.operators.quality import ERROR, compile_rules, passed, quarantined
+from ledgerstone.operators.quality import ERROR, compile_rules, observed, passed, quarantined
 from ledgerstone.operators.splice import Splice, refreshed
 from ledgerstone.plans.contracts import SILVER_CONTRACTS
 from ledgerstone.plans.silver import APPEND, ENTITIES, JOINED, source_passed, typed
@@ -29,8 +29,8 @@ class EntityStream:
         if self.entity.mode == JOINED:
             raise ValueError(f"{name} is built from snapshots of several sources, not from one stream")
         self.spark, self.root = spark, root
-        self.rules = compile_rules(self.contract, ERROR, as_of)
-        self.rows_path, self.refused_path = f"{root}/{name}/rows", f"{root}/quarantine"
+        self.as_of, self.rules = as_of, compile_rules(self.contract, ERROR, as_of)
+        self.rows_path, self.refused_path, self.metrics_path = f"{root}/{name}/rows", f"{root}/quarantine", f"{root}/metrics"
         self.checkpoint = f"{root}/{name}/checkpoint"
         append = self.entity.mode == APPEND
         self.table = LateAwareTable(spark, self.rows_path, self.entity.keys) if append else flows.SplicedHistory(spark, self.rows_path, Splice(self.entity.keys), buckets)
@@ -41,10 +41,12 @@ class EntityStream:
         return [flows.each_batch(rows, self._split, f"{self.checkpoint}/rows", interval)]
 
     def _refuse(self, batch: DataFrame, batch_id: int) -> None:
-        failures = quarantined(batch, self.contract, self.rules).drop("entity_name")
-        failures.write.mode("overwrite").parquet(
-            f"{self.refused_path}/entity_name={self.contract.name}/{flows.BATCH}={batch_id}"
-        )
+        """Write the failing rows, and the counts of every rule that the same pass takes."""
+        seen, metrics = observed(batch, self.contract, self.as_of)
+        place = f"entity_name={self.contract.name}/{flows.BATCH}={batch_id}"
+        failures = quarantined(seen, self.contract, self.rules).drop("entity_name")
+        failures.write.mode("overwrite").parquet(f"{self.refused_path}/{place}")
+        metrics().drop("entity_name").write.mode("overwrite").parquet(f"{self.metrics_path}/{place}")
 
     def _split(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -57,6 +59,11 @@ class EntityStream:
     def read(self) -> DataFrame:
         return self.table.read()
 
+    def metrics(self) -> DataFrame:
+        """Passed and failed rows per rule over all batches."""
+        rows = self.spark.read.parquet(self.metrics_path).where(F.col("entity_name") == self.contract.name)
+        return rows.groupBy("entity_name", "rule_id", "severity", "dimension").agg(F.sum("passed_count").alias("passed_count"), F.sum("failed_count").alias("failed_count"))
+
     def refused(self) -> DataFrame:
         return self.spark.read.parquet(self.refused_path).drop(flows.BATCH)
 

@@ -1,12 +1,16 @@
+import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerstone.operators import quality
+from ledgerstone.operators import audit, quality
 from ledgerstone.operators.quality import ERROR, WARNING, Contract, ContractError, Rule
+from ledgerstone.operators.rules import REFERENCE_RULES, Reference, judged
 from checks.required import REQUIRED
 from ledgerstone.plans.contracts import SILVER_CONTRACTS, SOURCE_CONTRACTS
+from tests.defects import inject_defects
 
 NOW = datetime(2024, 2, 1)
 CONTRACT = Contract(
@@ -88,10 +92,10 @@ def test_freshness_and_tolerance(spark, frame):
 
 def test_defects_are_repeatable(spark):
     rows = spark.range(20000).withColumnRenamed("id", "k").withColumns({"v": F.lit(1.0), "fk": F.col("k")})
-    dirty = quality.inject_defects(rows, "k", ["v"], "fk")
+    dirty = inject_defects(rows, "k", ["v"], "fk")
     counts = dirty.agg(F.count_if(F.col("v").isNull()), F.count_if(F.col("fk") == -1)).first()
     assert 250 < counts[0] < 550 and 50 < counts[1] < 160
-    assert dirty.exceptAll(quality.inject_defects(rows.repartition(5), "k", ["v"], "fk")).count() == 0
+    assert dirty.exceptAll(inject_defects(rows.repartition(5), "k", ["v"], "fk")).count() == 0
 
 
 def test_contracts_are_complete():
@@ -109,3 +113,51 @@ def test_required_fields_are_the_stated_ones():
 def test_fingerprint_changes_with_the_contract():
     assert CONTRACT.fingerprint == Contract("things", ("id",), CONTRACT.rules, ("id",)).fingerprint
     assert CONTRACT.fingerprint != Contract("things", ("id",), CONTRACT.rules[:1], ("id",)).fingerprint
+
+
+def test_profile_answers_all_checks_from_one_scan(spark):
+    rows = [(1, "a", "open"), (1, "a", "OPEN"), (None, "b", "shut"), (None, "", None), (2, None, "Gone"), (2, "", "gone"), (2, None, "shut")]
+    frame = spark.createDataFrame(rows, "k int, v string, s string")
+    out = audit.profile(frame, "t", ["k", "v"], ["k", "s"], {"s": ("OPEN", "SHUT")})
+    assert {tuple(r) for r in out.collect()} == {
+        ("DUPLICATE_KEY", "t", "1|a", 2), ("DUPLICATE_KEY", "t", "2|", 2), ("NULL_KEY", "t", "k", 2), ("NULL_KEY", "t", "s", 1),
+        ("UNEXPECTED_VALUE", "t", "s=Gone", 1), ("UNEXPECTED_VALUE", "t", "s=gone", 1),
+    }
+    assert audit.profile(frame.where("false"), "t", ["k"], ["k"]).collect() == []
+
+
+def test_grouped_reference_rules_equal_single_ones(spark):
+    rng = random.Random(8)
+    child = spark.createDataFrame([(i, rng.choice([None, 1, 2, 3, 9]), rng.choice(["x", "y", None]), f"2024-01-{rng.randrange(1, 29):02d}") for i in range(80)], "id int, k int, v string, at string")
+    parent = spark.createDataFrame([(1, "x", "2024-01-10"), (2, None, "2024-01-20"), (3, "y", None), (4, "x", "2024-01-01")], "p int, w string, since string")
+    child = child.withColumn("list", F.to_json(F.array(F.col("k").cast("string"), F.lit("7")))).withColumn("n", F.lit("19"))
+    base = {"key": ["id"], "pairs": [("k", "p")]}
+    rules = [
+        Reference("FOREIGN_KEY_IF_PRESENT", "child", "parent", base),
+        Reference("REFERENCE_RELATIONSHIP_EXISTS_IF_PRESENT", "child", "parent", {**base, "parent_where": "w = 'x'"}),
+        Reference("REFERENCE_CONDITION", "child", "parent", {**base, "parent_columns": ["w"], "condition": "parent_w = 'x'"}),
+        Reference("REFERENCE_CONDITION_FOR_VALUES", "child", "parent", {**base, "when": {"column": "v", "in": ["x"]}, "parent_columns": ["w"], "condition": "parent_w <> 'y'"}),
+        Reference("REFERENCE_TIMESTAMP_COMPARISON", "child", "parent", {**base, "left": "at", "op": ">=", "right": "since"}),
+        Reference("REFERENCE_COLUMN_EQUAL_IF_BOTH_PRESENT", "child", "parent", {**base, "left": "v", "right": "w"}),
+        Reference("JSON_ARRAY_FOREIGN_KEY", "child", "parent", {"key": ["id"], "column": "list", "parent_key": "p"}),
+        Reference("JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY", "child", "parent", {"key": ["id"], "column": "list", "parent_key": "p", "left": "v", "right": "w"}),
+        Reference("CHILD_ROW_COUNT_MATCH", "declared", "child", {"parent_key": "p", "child_key": "k", "declared": "n", "key": ["p"]}),
+        Reference("PARENT_DECLARED_CHILD_COUNT_MATCH", "child", "declared", {"parent_key": "p", "child_key": "k", "declared": "n", "key": ["p"]}),
+        Reference("PARENT_REFERENCE_USAGE", "parent", "child", {"parent_key": "p", "child_key": "k"}),
+    ]
+    tables = {"child": child, "parent": parent, "declared": parent.withColumn("n", F.lit("19"))}
+    got = Counter(tuple(r) for r in judged(tables, rules).collect())
+    want = Counter()
+    for r in rules:
+        want.update(tuple(x) for x in REFERENCE_RULES[r.type](tables[r.child], tables[r.parent], {"type": r.type, **r.spec}).collect())
+    assert got == want and len({t for t, *_ in want}) == len(rules)
+    plan = judged(tables, rules[:6])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_metrics_are_counted_while_writing(spark, tmp_path):
+    contract = Contract("t", ("k",), (Rule("K_SET", "error", "completeness", "k IS NOT NULL"), Rule("K_SMALL", "warning", "conformity", "k < 5")))
+    rows = spark.createDataFrame([(i if i % 3 else None,) for i in range(20)], "k int")
+    seen, metrics = quality.observed(rows, contract)
+    seen.write.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, metrics().collect())) == sorted(map(tuple, quality.rule_metrics(rows, contract).collect()))

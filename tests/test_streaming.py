@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstone.operators import history
-from ledgerstone.operators.quality import ERROR, Contract, Rule, compile_rules
+from ledgerstone.operators.quality import ERROR, Contract, Rule, compile_rules, rule_metrics
 from ledgerstone.operators.splice import Splice
 from ledgerstone.plans.publish import latest, materialise
 from ledgerstone.streaming import flows
@@ -101,6 +101,7 @@ def test_entity_stream_equals_batch(spark, tmp_path, name):
         counts = live.table.counts().agg(F.sum("rows"), F.sum("accepted"), F.sum("late"), F.sum("repeated")).first()
         assert counts[0] == sum(counts[1:]) and counts[1] == live.read().count()
     assert live.refused().count() == batch.quarantine(name).count()
+    assert same(live.metrics(), rule_metrics(batch.built(name), live.contract, AS_OF))
 
 
 def test_joined_entities_have_no_stream(spark, tmp_path):
