@@ -50,6 +50,15 @@ def _fingerprint(columns: Sequence[str], deleted: Column) -> Column:
     return F.sha2(F.when(deleted, F.lit("DELETE")).otherwise(state), 256)
 
 
+def state_mark(columns: Sequence[str]) -> Column:
+    """128 bits that stand for the values of the columns, so neighbours carry two numbers and not the whole state.
+
+    Hashes pass over nulls, so which columns are null is hashed too.
+    """
+    nulls = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
+    return F.struct(*[F.xxhash64(F.lit(seed), nulls, *columns).alias(f"h{seed}") for seed in (1, 2)])
+
+
 def scd2(
     log: DataFrame,
     keys: Sequence[str],
@@ -75,22 +84,19 @@ def scd2(
     hidden = {sequence, *order, *dropped}
     state = [c for c in log.columns if c not in hidden and c not in keys and c not in untracked]
     payload = [c for c in log.columns if c not in hidden]
-    gone = F.col("_gone")
 
     def same(side: str) -> Column:
         """Whether the neighbour exists and holds the same state; deletes have no state."""
-        there = F.struct(*[F.col(f"{side}.{c}") for c in state]) if state else F.lit(True)
-        here = F.struct(*state) if state else F.lit(True)
-        return F.coalesce((F.col(f"{side}._gone") == gone) & (gone | here.eqNullSafe(there)), F.lit(False))
+        return F.coalesce(F.col(f"{side}._mark") == F.col("_mark"), F.lit(False))
 
     chunk = time_chunk(F.col(sequence), chunk_unit)
     seen = with_neighbours(
-        log.withColumn("_gone", F.coalesce(deleted, F.lit(False))),
+        log.withColumn("_gone", F.coalesce(deleted, F.lit(False))).withColumn("_mark", F.when(~F.col("_gone"), state_mark(state)).otherwise(F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2")))),
         keys,
         order,
         chunk,
-        previous=["_gone", *state],
-        following=["_gone", *state, sequence],
+        previous=["_mark"],
+        following=["_mark", sequence],
     )
     borders = (
         seen.withColumns(

@@ -134,3 +134,14 @@ def test_top_rows_are_limited_below_the_shuffle(spark):
     frame = spark.createDataFrame(changes(50, 6), SCHEMA)
     plan = ordered.latest_by(frame, ["k"], ["_sequence_ts", "_source_lsn"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+
+
+def test_marks_tell_nulls_apart(spark):
+    rows = [(None, "a"), ("a", None), ("a", "a"), (None, None), ("", "a"), ("a", ""), ("0", "1"), ("01", "")]
+    frame = spark.createDataFrame(rows, "x string, y string")
+    marks = [r[0] for r in frame.select(history.state_mark(["x", "y"])).collect()]
+    assert len(set(marks)) == len(rows)
+    versions = history.scd2(
+        spark.createDataFrame([(1, x, y, "U", BASE + timedelta(hours=i), i) for i, (x, y) in enumerate(rows)], "k int, x string, y string, _operation string, _sequence_ts timestamp, _source_lsn bigint"), ["k"]
+    )
+    assert versions.count() == len(rows)
