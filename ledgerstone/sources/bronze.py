@@ -184,13 +184,31 @@ def ingestion_quarantine(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def refused_in_lines(lines: DataFrame, table: str, record: StructType, at: Column | None = None) -> DataFrame:
+    """All that a data set's JSON lines send to the ingestion quarantine, without its Bronze rows: one pass over the lines."""
+    kind, _, dataset = table.partition("_")
+    envelope = landing.cdc_schema if kind == "cdc" else landing.event_schema
+    rows = reading.json_rows(lines, envelope(record))
+    held = rows.where(F.col(reading.UNREADABLE).isNotNull() | F.col(RESCUED).isNotNull())
+    unread = F.col(reading.UNREADABLE).isNotNull()
+    return _refused(
+        held, kind, F.lit(dataset), F.when(unread, "UNREADABLE_LINE").otherwise("SCHEMA_RESCUED_DATA"), F.coalesce(reading.UNREADABLE, RESCUED),
+        F.col("_metadata.file_path"), F.when(~unread, F.col("batch_id")), F.current_timestamp() if at is None else at,
+    )
+
+
 def landing_quarantine(spark: SparkSession, root: str, records: Mapping[str, StructType], at: Column | None = None) -> DataFrame:
     """Everything refused in the landing area: each data set whose record schema is given, and both kinds of invalid transport."""
     parts = []
     for table in registry.bronze_tables():
         dataset = table.partition("_")[2]
-        if dataset in records:
-            parts.append(refused_rows(*opened(landed_lines(spark, root, table), table, records[dataset], at), table, at))
+        if dataset not in records:
+            continue
+        lines = landed_lines(spark, root, table)
+        if table.startswith("file_"):
+            parts.append(refused_rows(*opened(lines, table, records[dataset], at), table, at))
+        else:
+            parts.append(refused_in_lines(lines, table, records[dataset], at))
     for kind in ("cdc", "event"):
         invalid = landing.invalid_transport(spark, f"{root}/quarantine/{kind}")
         parts.append(refused_messages(invalid, kind, F.col("_metadata.file_path"), at))

@@ -45,11 +45,18 @@ def _object(members: Column) -> Column:
 
 
 class _Opened:
-    """The columns of one object of a parsed line and the members that its schema cannot hold."""
+    """The columns of one object of a parsed line and the members that its schema cannot hold.
 
-    def __init__(self, path: str, schema: StructType) -> None:
-        self.path = path
-        self.held = F.try_variant_get("_parsed", path, "map<string,variant>")
+    What is used more than once is a column of its own, the objects inside first, so
+    that plans stay as small as the schema: ``steps`` holds these columns by depth.
+    """
+
+    def __init__(self, path: str, schema: StructType, steps: list[dict[str, Column]], depth: int = 1) -> None:
+        while len(steps) <= depth:
+            steps.append({})
+        name = f"{len(steps[0])}"
+        steps[0][f"_held{name}"] = F.try_variant_get("_parsed", path, "map<string,variant>")
+        self.held, self.members = F.col(f"_held{name}"), F.col(f"_members{name}")
         self.fields: list[Column] = []
         known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
         unknown = F.filter(F.map_entries(self.held), lambda e: ~F.array_contains(known, e["key"]))
@@ -59,7 +66,7 @@ class _Opened:
             raw = F.try_variant_get("_parsed", at, "variant")
             there = raw.isNotNull() & ~F.is_variant_null(raw)
             if isinstance(f.dataType, StructType):
-                inner = _Opened(at, f.dataType)
+                inner = _Opened(at, f.dataType, steps, depth + 1)
                 self.fields.append(F.when(inner.held.isNotNull(), F.struct(*inner.fields)).alias(f.name))
                 nested = F.when(F.size(inner.members) > 0, F.concat(F.lit(f'"{f.name}":'), _object(inner.members)))
                 lost = F.when(there & inner.held.isNull(), _member(F.lit(f.name), raw)).otherwise(nested)
@@ -68,14 +75,17 @@ class _Opened:
                 self.fields.append(typed.alias(f.name))
                 lost = F.when(there & typed.isNull(), _member(F.lit(f.name), raw))
             parts.append(F.array(lost))
-        self.members = F.array_compact(F.flatten(F.array(*parts)))
+        steps[depth][f"_members{name}"] = F.array_compact(F.flatten(F.array(*parts)))
 
 
 def json_rows(lines: DataFrame, schema: StructType) -> DataFrame:
     """The lines' other columns, the schema's fields, the rescued JSON and the line itself where it cannot be read."""
-    opened = _Opened("$", schema)
+    steps: list[dict[str, Column]] = []
+    opened = _Opened("$", schema, steps)
     rest = [c for c in lines.columns if c != VALUE]
-    parsed = lines.withColumn("_parsed", F.try_parse_json(VALUE))
+    parsed = lines.withColumn("_parsed", F.try_parse_json(VALUE)).withColumns(steps[0])
+    for step in reversed(steps[1:]):
+        parsed = parsed.withColumns(step)
     unreadable = F.when(opened.held.isNull(), F.col(VALUE)).alias(UNREADABLE)
     rescued = F.when(F.size(opened.members) > 0, _object(opened.members)).alias(RESCUED)
     return parsed.select(*rest, *opened.fields, rescued, unreadable)
