@@ -6,11 +6,12 @@ bits, and each part keeps the XOR of its hashes; sketches of one bit a bucket (t
 parity of its hashes) are the same idea at one bit a part. A shingle that only one of
 two sets holds changes one part, so of more than D parts one stays equal:
 
-1. Size bands double. A set emits the parts of its band, and of the next one if a
-   partner may be there; sets below ``SMALL`` shingles, whose parts would often be
+1. Size bands double. A set emits leading parts of its band, and of the next one if a
+   partner may be there, always some more than it can differ from a partner of that
+   band; sets below ``SMALL`` shingles, whose parts would often be
    empty, emit their smallest n/4 + 1 hashes instead, of which two linked sets share
    one. Differences would have to reach every part that the other 6/7 of the hashes
-   fill; with some D + 4 parts that chance is below 1e-12 a pair.
+   fill; with D + 16 parts that chance is below 1e-10 a pair.
 2. Documents with an equal part meet in a bucket. Each is paired only with the bucket's
    smallest document: a group of near copies costs one pair a document, not its square.
 3. The Hamming distance of two parity sketches is at most the sets' difference, so pairs
@@ -27,6 +28,7 @@ set size. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +42,12 @@ K = 5
 #: Linked: LOW * union <= HIGH * intersection.
 LOW, HIGH = 3, 4
 SMALL = 64
-#: 64-bit words of the parity sketch that bucket joins compare.
-SKETCH_WORDS = 16
+#: Parts emitted beyond the largest difference, as parts may be empty.
+SPARE = 16
+#: Signatures keep their high 48 bits: chance meetings are rare and only cost a comparison, and a row is shorter.
+KEPT_BITS = np.uint64(0xFFFFFFFFFFFF0000)
+#: 64-bit words of a set's parity sketch, and of its folded form that bucket joins carry.
+SKETCH_WORDS, SHORT_WORDS = 16, 8
 #: Larger sets have a second sketch of some 4 to 8 bits a shingle; in the short one their differences cancel.
 WIDE_FROM = 1024
 
@@ -56,6 +62,12 @@ def parts_in(band: int) -> int:
     return 2 * ((2 << band) - 1) // 7 + 4
 
 
+def parts_needed(n: int, band: int) -> int:
+    """How many leading parts of the band a set of n shingles emits: more than its largest difference to a partner there."""
+    largest = min((2 << band) - 1, HIGH * n // LOW)
+    return min(parts_in(band), (n + largest) // 7 + SPARE)
+
+
 def signatures(hashes: np.ndarray) -> np.ndarray:
     """Keys under which two linked sets meet at least once."""
     n, out = len(hashes), []
@@ -65,10 +77,11 @@ def signatures(hashes: np.ndarray) -> np.ndarray:
         high = hashes >> np.uint64(32)
         for band in bands_of(n):
             part = (high * np.uint64(parts_in(band))) >> np.uint64(32)
-            start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            parity = np.bitwise_xor.reduceat(hashes, start)
+            some = int(np.searchsorted(part, parts_needed(n, band)))
+            start = np.flatnonzero(np.r_[True, part[1:some] != part[: some - 1]]) if some else np.empty(0, np.int64)
+            parity = np.bitwise_xor.reduceat(hashes[:some], start) if some else hashes[:0]
             out.append(mixed(parity ^ mixed(part[start] + np.uint64(band << 32))))
-    return np.concatenate(out) if out else hashes
+    return np.concatenate(out) & KEPT_BITS if out else hashes
 
 
 def sketch(hashes: np.ndarray, words: int) -> bytes:
@@ -120,10 +133,16 @@ def facts(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(emit, "doc_id long, " + ", ".join(f"{c} long" for c in names) + ", wide binary")
 
 
-def may_link(a: str, b: str) -> Column:
+def short(reps: DataFrame) -> DataFrame:
+    """doc_id, n and the sketch folded to ``SHORT_WORDS`` words; folding never adds to a distance."""
+    folds = range(0, SKETCH_WORDS, SHORT_WORDS)
+    return reps.select("doc_id", "n", *[functools.reduce(Column.bitwiseXOR, (F.col(f"s{i + j}") for j in folds)).alias(f"s{i}") for i in range(SHORT_WORDS)])
+
+
+def may_link(a: str, b: str, words: int = SKETCH_WORDS) -> Column:
     """What sizes and sketches allow: comparable sizes, and a Hamming distance within the largest difference."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-    distance = sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+    distance = sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(words)), F.lit(0))
     return (LOW * F.greatest(x, y) <= HIGH * F.least(x, y)) & ((HIGH + LOW) * distance <= (HIGH - LOW) * (x + y))
 
 
@@ -175,16 +194,13 @@ def linked(docs: DataFrame) -> DataFrame:
     rest = _with_component(near, first).where("ca <> cb").select("a", "b")
     first = extended(first, stored(verified(texts, rest), "links"))
 
-    grouped = (
-        met.select("sig", "doc_id").join(reps.select("doc_id").distinct(), "doc_id")
-        .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .withColumn("component", F.coalesce("component", "doc_id"))
-    )
+    of_rep = reps.select("doc_id").distinct().join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    grouped = met.select("sig", "doc_id").join(of_rep.select("doc_id", F.coalesce("component", "doc_id").alias("component")), "doc_id")
     mixed_buckets = grouped.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sig")
-    apart = stored(grouped.join(mixed_buckets, "sig"), "apart").join(reps.drop("wide"), "doc_id")
+    apart = stored(grouped.join(mixed_buckets, "sig"), "apart").join(short(reps), "doc_id")
     release(spark)
     pairs = (
-        apart.alias("x").join(apart.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
+        apart.alias("x").join(apart.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y", SHORT_WORDS))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     )
     pairs = stored(pairs, "pairs").join(near, ["a", "b"], "left_anti").join(near.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
