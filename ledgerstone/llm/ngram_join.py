@@ -174,11 +174,12 @@ def linked(docs: DataFrame) -> DataFrame:
     """Per row doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
     spark = docs.sparkSession
     known = stored(facts(docs), "facts")
-    of_id = known.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).distinct()
-    same_set = of_id.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    classed = of_id.join(same_set, ["n", "f1", "f2"])
-    reps = stored(classed.where("doc_id = rep").drop("rep"), "reps")
-    copies = classed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    of_id = known.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+    # a set's fingerprint decides its sketches, so any row's will do
+    sketches = [F.first(c).alias(c) for c in known.columns if c == "wide" or c.startswith("s")]
+    reps = stored(of_id.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("doc_id"), *sketches), "reps")
+    rep_of = reps.select("n", "f1", "f2", F.col("doc_id").alias("b"))
+    copies = of_id.select(F.col("doc_id").alias("a"), "n", "f1", "f2").join(rep_of, ["n", "f1", "f2"]).where("a <> b").select("a", "b").distinct()
 
     in_bucket = Window.partitionBy("sig")
     met = buckets(docs).withColumns({"size": F.count("*").over(in_bucket), "hub": F.min("doc_id").over(in_bucket)}).where("size > 1").drop("size")
