@@ -7,23 +7,27 @@ Spark deals each ordering into ranges of neighbouring keys (blocks of about
 ``block_rows`` vectors; ties are broken by a hash of the id, so equal vectors spread).
 Each query meets its own block and its neighbours on both sides, as many as ``reach``
 says; every block returns its best, and all blocks' best are merged and ranked by exact
-inner products.
+inner products. Result rows come from blocks only.
 
-The fitting sample seeds the search: its k best for a query are candidates, and what
-scores below the last of them is left out of the blocks' answers, as it cannot be among
-the k nearest. So answers grow with the rows that can matter, not with blocks.
+A query's own block of each ordering answers with its k best. Of the other blocks'
+answers what scores below the k-th best id of the fitting sample is left out, as it
+cannot be among the k nearest: answers grow with the rows that can matter, not with blocks.
 
 Directions, block borders and ``reach`` are fitted on bounded samples: at most
 ``SAMPLE_ROWS`` vectors and ``SAMPLE_QUERIES`` queries, those with the smallest hashes of
-their ids. Reach is the smallest at which the sample's recall against brute force is at
-least ``RECALL``. Where vectors fill all dimensions alike, a curve keeps few neighbours
+their rows. Borders hold at least ``RANGE_SAMPLE`` sampled rows apart; where that leaves
+more than ``block_rows`` vectors between two, the range is cut into blocks of equal width,
+so blocks keep their size however many rows there are. Reach is the smallest at which the
+sample's recall against brute force is at least ``RECALL``, for its share of the k nearest
+of all rows. Where vectors fill all dimensions alike, a curve keeps few neighbours
 together and reach grows to a large part of the blocks; where they are clustered it
 stays small. Every row is indexed.
 
 Vectors that are null, zero, of another length than most of the sample, or hold a null
-or non-finite component take no part; neither do rows without vec_id. A query has no
-row for itself; repeated vec_ids are candidates of each other. With fewer candidates
-than ``k`` all are returned. An empty table gives no rows. Other columns are not read.
+or non-finite component take no part; neither do rows without vec_id. Rows that repeat
+both vec_id and vector are one row. A vec_id with several vectors is one candidate and one
+query, with the best score of any of them; a query has no row for its own vec_id. With
+fewer candidates than ``k`` all that blocks within reach hold are returned. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ from ledgerstone.llm.common import chosen, mixed
 
 QUERY_EVERY, K = 20, 20
 ORDERINGS, DIMENSIONS, BITS = 4, 6, 8
-BLOCK_ROWS, MOST_BLOCKS = 1024, 4096
+BLOCK_ROWS, RANGE_SAMPLE = 1024, 8
 SAMPLE_ROWS, SAMPLE_QUERIES, RECALL = 20_000, 200, 0.97
 SEED = 20
 
@@ -73,6 +77,12 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
+def by_id(scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids) with one column for each of the sorted ids: the best of its columns."""
+    start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return (scores, ids) if len(start) == len(ids) else (np.maximum.reduceat(scores, start, axis=1), ids[start])
+
+
 @dataclass
 class Curves:
     """What is fitted: the longest length seen, directions and shifts, block borders of each ordering."""
@@ -82,18 +92,22 @@ class Curves:
     low: np.ndarray
     span: np.ndarray
     shift: np.ndarray
-    borders: list[np.ndarray]
-    ids: np.ndarray
+    borders: list[np.ndarray]  # the outermost keys of the sample included
+    ids: np.ndarray  # sorted
     sample: np.ndarray
+    splits: int = 1
     reach: int = 0
 
-    def seeds(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, ids) of the sample's k best for each query; -inf where there are fewer."""
+    @property
+    def count(self) -> int:
+        return (len(self.borders[0]) - 1) * self.splits
+
+    def cut_off(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
+        """The k-th best score that other ids of the sample reach for each query; -inf where there are fewer."""
         scores = vectors @ self.sample.T
         scores[ids[:, None] == self.ids[None, :]] = -np.inf
-        k = min(k, len(self.ids))
-        best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-        return np.take_along_axis(scores, best, axis=1), self.ids[best]
+        scores, _ = by_id(scores, self.ids)
+        return -np.partition(-scores, k - 1, axis=1)[:, k - 1] if scores.shape[1] >= k else np.full(len(ids), -np.inf)
 
     def keys(self, ordering: int, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         extra = np.sqrt(np.maximum(self.longest**2 - (vectors**2).sum(axis=1), 0))
@@ -104,7 +118,13 @@ class Curves:
         return (place << spare) | (mixed(ids.astype(np.uint64) + np.uint64(1)) >> (np.uint64(64) - spare))
 
     def blocks(self, ordering: int, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.borders[ordering], self.keys(ordering, ids, vectors), "right")
+        """The block of each vector: a range between borders, cut into ``splits`` of equal width."""
+        keys, borders = self.keys(ordering, ids, vectors), self.borders[ordering]
+        at = np.searchsorted(borders[1:-1], keys, "right")
+        keys = keys.clip(borders[0], borders[-1])  # rows beyond the sample's outermost stand with them
+        width = np.maximum(borders[at + 1] - borders[at], np.uint64(1)).astype(float)
+        part = ((keys - borders[at]).astype(float) / width * self.splits).astype(np.int64)
+        return at * self.splits + part.clip(0, self.splits - 1)
 
 
 def usable(vector: str) -> Column:
@@ -116,9 +136,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def fitted(vectors: DataFrame, rows: int, block_rows: int, orderings: int) -> Curves:
-    table = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
+def fitted(vectors: DataFrame, rows: int, block_rows: int, orderings: int, sample_rows: int) -> Curves:
+    table = vectors.orderBy(F.xxhash64("vec_id", "vector"), "vec_id", "vector").limit(sample_rows).toArrow()
     ids, x = table.column("vec_id").to_numpy(), _matrix(table.column("vector").combine_chunks())
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
     random = np.random.default_rng(SEED)
     longest = float(np.sqrt((x**2).sum(axis=1).max()))
     directions = random.standard_normal((orderings, DIMENSIONS, x.shape[1] + 1))
@@ -127,39 +149,41 @@ def fitted(vectors: DataFrame, rows: int, block_rows: int, orderings: int) -> Cu
     flat = np.einsum("nc,odc->ond", np.c_[x, extra], directions)
     low, high = flat.min(axis=1), flat.max(axis=1)
     curves = Curves(longest, directions, low, np.maximum(high - low, 1e-9), random.random((orderings, DIMENSIONS)) * 0.5, [], ids, x)
-    count = int(np.clip(rows // block_rows, 1, min(MOST_BLOCKS, len(ids))))
+    count = max(1, min(rows // block_rows, len(ids) // RANGE_SAMPLE))
+    curves.splits = max(1, round(rows / block_rows / count))
     for o in range(orderings):
         keys = np.sort(curves.keys(o, ids, x))
-        curves.borders.append(keys[np.arange(1, count) * len(keys) // count])
-    curves.reach = _reach(curves, ids, x, count)
+        curves.borders.append(np.r_[keys[np.arange(count) * len(keys) // count], keys[-1]])
+    curves.reach = _reach(curves, rows)
     return curves
 
 
-def _reach(curves: Curves, ids: np.ndarray, x: np.ndarray, count: int) -> int:
+def _reach(curves: Curves, rows: int) -> int:
     """The fewest blocks on each side at which the sample's recall is high enough."""
-    queries = np.flatnonzero(ids % QUERY_EVERY == 0)[:SAMPLE_QUERIES]
+    ids, x = curves.ids, curves.sample
+    queries = np.flatnonzero(ids % QUERY_EVERY == 0)
     if not len(queries):
-        queries = np.arange(min(len(ids), SAMPLE_QUERIES))
+        queries = np.arange(len(ids))
+    queries = queries[:: max(1, len(queries) // SAMPLE_QUERIES)][:SAMPLE_QUERIES]
     block = np.stack([curves.blocks(o, ids, x) for o in range(len(curves.borders))])
     scores = x[queries] @ x.T
-    scores[np.arange(len(queries)), queries] = -np.inf
+    scores[ids[queries][:, None] == ids[None, :]] = -np.inf
     # the sample stands for all rows: its share of the k nearest
-    k = min(K, max(1, len(ids) - 1))
+    k = min(max(1, round(K * len(ids) / rows)), max(1, len(ids) - 1))
     best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
     away = np.abs(block[:, queries, None] - block[np.arange(len(block))[:, None, None], best[None]]).min(axis=0)
-    return int(np.quantile(away, min(RECALL, 1.0), method="higher")) if count > 1 else 0
+    return int(np.quantile(away, RECALL, method="higher")) if curves.count > 1 else 0
 
 
-def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderings: int = ORDERINGS, block_rows: int = BLOCK_ROWS, vector: str = "embedding") -> DataFrame:
+def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderings: int = ORDERINGS, block_rows: int = BLOCK_ROWS, sample_rows: int = SAMPLE_ROWS, vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found, nearest first, ties to the smaller vec_id."""
-    good = chosen(embeddings, "vec_id", vector).select("vec_id", F.col(vector).cast("array<double>").alias("vector")).where(usable("vector"))
+    good = chosen(embeddings, "vec_id", vector).select("vec_id", F.col(vector).cast("array<double>").alias("vector")).where(usable("vector")).distinct()
     sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     spark = embeddings.sparkSession
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     good = good.where(F.size("vector") == sizes["size"])
-    curves = fitted(good, sizes["n"], block_rows, orderings)
-    count = len(curves.borders[0]) + 1
+    curves = fitted(good, sizes["n"], block_rows, orderings, sample_rows)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector to its block of each ordering, and as a query to the blocks within reach."""
@@ -170,20 +194,22 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderin
                 row = np.arange(len(ids))
                 asks = row[ids % every == 0]
                 floor = np.full(len(ids), -np.inf)
-                if len(asks) and len(curves.ids) >= k:
-                    floor[asks] = curves.seeds(ids[asks], x[asks], k)[0].min(axis=1) - 1e-9
+                if len(asks):
+                    floor[asks] = curves.cut_off(ids[asks], x[asks], k)
+                    floor[asks] -= 1e-9 * np.maximum(1, np.abs(floor[asks]))  # sums may be added up in another order
                 for o in range(orderings):
                     block = curves.blocks(o, ids, x)
                     around = np.arange(-curves.reach, curves.reach + 1)
                     to = (block[asks][:, None] + around).ravel()
                     who = np.repeat(asks, len(around))
-                    inside = (to >= 0) & (to < count)
-                    for rows, blocks, query in ((row, block, False), (who[inside], to[inside], True)):
+                    inside = (to >= 0) & (to < curves.count)
+                    least = np.where(to == block[who], -np.inf, floor[who])
+                    for rows, blocks, query, above in ((row, block, False, floor), (who[inside], to[inside], True, least[inside])):
                         for j in range(0, len(rows), 4096):
                             pick = pa.array(rows[j : j + 4096])
                             n = len(pick)
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(blocks[j : j + 4096].astype(np.int64) * orderings + o), pa.array(np.full(n, query)), few.column(0).take(pick), pa.array(floor[rows[j : j + 4096]]), few.column(1).take(pick)],
+                                [pa.array(blocks[j : j + 4096].astype(np.int64) * orderings + o), pa.array(np.full(n, query)), few.column(0).take(pick), pa.array(above[j : j + 4096]), few.column(1).take(pick)],
                                 ["block", "query", "vec_id", "least", "vector"],
                             )
 
@@ -198,29 +224,20 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = QUERY_EVERY, orderin
             ask = want[i : i + 256]
             scores = x[ask] @ x[have].T
             scores[ids[ask][:, None] == ids[have][None, :]] = -np.inf
-            most = min(k, len(have))
+            scores, named = by_id(scores, ids[have])
+            most = min(k, len(named))
             floor = np.maximum(-np.partition(-scores, most - 1, axis=1)[:, most - 1 : most], least[ask][:, None])
             r, c = np.nonzero((scores >= floor) & (scores > -np.inf))  # ties of the last stay in
-            order = np.lexsort((ids[have][c], -scores[r, c], r))
+            order = np.lexsort((named[c], -scores[r, c], r))
             r, c = r[order], c[order]
             place = np.arange(len(r)) - np.searchsorted(r, r)
             r, c = r[place < most], c[place < most]
-            found.append((ids[ask][r], ids[have][c], scores[r, c]))
+            found.append((ids[ask][r], named[c], scores[r, c]))
         q, v, s = (np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3))
         return pa.table({"query_id": pa.array(q.astype(np.int64)), "vec_id": pa.array(v.astype(np.int64)), "score": pa.array(s.astype(float))})
 
-    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                few = batch.slice(i, 256)
-                ids = few.column(0).to_numpy()
-                scores, found = curves.seeds(ids, _matrix(few.column(1)), k)
-                real = scores > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, real.sum(axis=1))), pa.array(found[real]), pa.array(scores[real])], ["query_id", "vec_id", "score"])
-
     rows = good.mapInArrow(dealt, "block long, query boolean, vec_id long, least double, vector array<double>")
     found = rows.groupBy("block").applyInArrow(best, "query_id long, vec_id long, score double")
-    found = found.unionByName(good.where(F.col("vec_id") % every == 0).mapInArrow(seeded, "query_id long, vec_id long, score double"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return once.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -65,9 +65,19 @@ def test_hilbert_neighbours_touch():
     assert (np.abs(np.diff(cells[np.argsort(place)], axis=0)).sum(axis=1) == 1).all()
 
 
-def test_search_recall_and_exact_scores(spark):
+def exact_neighbours(ids, x, query, k=20):
+    """The k best other ids of a query and their scores, best first, ties to the smaller id."""
+    best = {}
+    for i, s in ((i, float(max(row @ y for row in x[ids == query]))) for i, y in zip(ids.tolist(), x)):
+        if i != query:
+            best[i] = max(best.get(i, -np.inf), s)
+    return sorted(((s, i) for i, s in best.items()), key=lambda p: (-p[0], p[1]))[:k]
+
+
+@pytest.mark.parametrize("sample_rows", [20_000, 200])
+def test_search_recall_and_exact_scores(spark, sample_rows):
     table = spark.read.parquet(f"{TESTDATA}/sf0.1/embeddings.parquet")
-    found = curve_search.nearest(table, block_rows=100).toPandas()
+    found = curve_search.nearest(table, block_rows=100, sample_rows=sample_rows).toPandas()
     rows = table.toPandas()
     ids, x = rows.vec_id.to_numpy(), np.stack(rows.embedding.to_numpy()).astype(float)
     right = 0
@@ -75,11 +85,37 @@ def test_search_recall_and_exact_scores(spark):
         scores = x @ x[i]
         scores[i] = -np.inf
         mine = found[found.query_id == ids[i]].sort_values("rank")
+        assert len(mine) == 20
         right += len(set(ids[np.argsort(-scores)[:20]]) & set(mine.vec_id))
         assert np.allclose(mine.score, scores[np.searchsorted(ids, mine.vec_id)]) and mine.score.is_monotonic_decreasing
     assert right / (20 * (ids % 20 == 0).sum()) >= 0.9
 
 
+@pytest.mark.parametrize("repeats", ["rows", "vectors", "hot id"])
+def test_search_of_repeated_rows(spark, repeats):
+    """Rows stored twice, one vector under many ids, and one id with a third of all rows."""
+    random = np.random.default_rng(3)
+    ids, x = np.arange(300), random.standard_normal((300, 8))
+    if repeats == "rows":
+        ids, x = np.tile(ids, 2), np.tile(x, (2, 1))
+    elif repeats == "vectors":
+        x[:100] = x[0]
+    else:
+        ids = np.r_[ids, np.full(150, 40)]
+        x = np.r_[x, random.standard_normal((150, 8))]
+    table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    found = curve_search.nearest(table, block_rows=64).toPandas()
+    right = 0
+    for query in range(0, 300, 20):
+        mine = found[found.query_id == query].sort_values("rank")
+        want = exact_neighbours(ids, x, query)
+        assert mine["rank"].tolist() == list(range(1, 21)) and mine.vec_id.is_unique
+        right += len({i for _, i in want} & set(mine.vec_id))
+        if len(want) == len({i for _, i in want} & set(mine.vec_id)):
+            assert mine.vec_id.tolist() == [i for _, i in want]
+    assert right >= 0.9 * 20 * 15
+
+
 def test_search_of_messy_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (3, [1.0, 0.0]), (4, [1.0, 0.0]), (5, None), (6, [0.0, 0.0]), (7, [1.0, None]), (8, [float("nan"), 1.0]), (9, [1.0]), (None, [1.0, 1.0]), (10, [float("inf"), 1.0])]
     table = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, block int, query int")
