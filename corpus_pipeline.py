@@ -46,7 +46,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: SQL cannot express the learned and tokenised stages; tests hold the run against a brute-force version.
+#: SQL cannot express the learned and tokenised stages; tests hold the stages, one by one, against brute force or by what they must keep.
 ORACLE_SQL = None
 
 
