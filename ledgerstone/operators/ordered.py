@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 CHUNK = "_chunk"
 _BEFORE_ALL = "0001-01-01"
@@ -44,6 +44,22 @@ def top_by(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], count
     return frame.withColumn("_rank", rank).where(F.col("_rank") <= count)
 
 
+def _looked(window: WindowSpec, previous: Sequence[str], following: Sequence[str]) -> dict[str, Column]:
+    found = {}
+    if previous:
+        found["_previous"] = F.lag(F.struct(*previous)).over(window)
+    if following:
+        found["_following"] = F.lead(F.struct(*following)).over(window)
+    return found
+
+
+def neighbours_in_task(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], previous: Sequence[str] = (), following: Sequence[str] = ()
+) -> DataFrame:
+    """``with_neighbours`` for keys of few rows: a key is one task's, and a second call needs no shuffle or sort."""
+    return frame.withColumns(_looked(Window.partitionBy(*keys).orderBy(*order), previous, following))
+
+
 def with_neighbours(
     frame: DataFrame,
     keys: Sequence[str],
@@ -64,12 +80,7 @@ def with_neighbours(
     across = Window.partitionBy(*keys).orderBy(CHUNK, *order)
 
     def looked(window) -> dict[str, Column]:
-        found = {}
-        if previous:
-            found["_previous"] = F.lag(F.struct(*previous)).over(window)
-        if following:
-            found["_following"] = F.lead(F.struct(*following)).over(window)
-        return found
+        return _looked(window, previous, following)
 
     local = frame.withColumn(CHUNK, chunk).withColumns(
         looked(inside)

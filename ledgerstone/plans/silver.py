@@ -617,12 +617,15 @@ def deduplicated(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     return top_by(frame, keys, order, 1).drop("_rank")
 
 
-def publish(name: str, changes: DataFrame) -> DataFrame:
-    """The stored form of validated rows: full history or deduplicated records."""
+def publish(name: str, changes: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """The stored form of validated rows: full history or deduplicated records.
+
+    ``counted`` may give the rows before their rules, whose keys are cheaper to count.
+    """
     entity = ENTITIES[name]
     if entity.mode == APPEND:
         return deduplicated(changes, entity.keys)
-    return scd2(changes, entity.keys)
+    return scd2(changes, entity.keys, counted=counted)
 
 
 def current_rows(name: str, changes: DataFrame) -> DataFrame:

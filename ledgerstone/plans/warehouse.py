@@ -75,7 +75,7 @@ class Warehouse:
         """All stored rows of an entity: type 2 versions or immutable records."""
         if silver.ENTITIES[name].mode == silver.JOINED:
             return self.silver(name)
-        return self._once("history", name, lambda: silver.publish(name, self.changes(name)))
+        return self._once("history", name, lambda: silver.publish(name, self.changes(name), self.built(name)))
 
     def at(self, moment: datetime) -> Warehouse:
         """The same sources as they were ingested up to ``moment``."""

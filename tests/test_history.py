@@ -145,3 +145,19 @@ def test_marks_tell_nulls_apart(spark):
         spark.createDataFrame([(1, x, y, "U", BASE + timedelta(hours=i), i) for i, (x, y) in enumerate(rows)], "k int, x string, y string, _operation string, _sequence_ts timestamp, _source_lsn bigint"), ["k"]
     )
     assert versions.count() == len(rows)
+
+
+@pytest.mark.parametrize("busy_rows", [0, 60, 10**6])
+def test_scd2_matches_a_plain_loop_however_many_keys_are_cut(spark, busy_rows):
+    rows = changes(400, 7)
+    log = spark.createDataFrame(rows, SCHEMA)
+    got = history.scd2(log, ["k"], untracked=["note"], busy_rows=busy_rows, counted=log.unionByName(log)).collect()
+    assert sorted(((r.k, r.v, r.note, r["__START_AT"], r["__END_AT"]) for r in got), key=key_of) == sorted(brute_scd2(rows), key=key_of)
+
+
+def test_keys_of_few_rows_are_shuffled_and_sorted_once(spark):
+    log = spark.createDataFrame(changes(400, 8), SCHEMA)
+    assert history.busy_buckets(log, ["k"], 100) and not history.busy_buckets(log, ["k"], 400)
+    versions = history.scd2(log, ["k"], untracked=["note"])
+    plan = versions._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
