@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,16 +50,18 @@ def local_session(name: str = "ledgerstone", cpus: str = "*", partitions: int =
 
 
 def settle(frame: DataFrame) -> DataFrame:
-    """Compute ``frame`` once, into the shared checkpoint folder, and cut its lineage.
+    """Compute ``frame`` once, as Parquet in the shared checkpoint folder, and cut its lineage.
 
-    Used for frames that several downstream products read. The folder is the one
-    the cluster names in ``spark.checkpoint.dir``, so the result outlives a lost
-    executor. A local session may go without one and gets a scratch folder.
+    Used for frames that several downstream products read; each reader takes only the
+    columns it needs. The folder is the one the cluster names in ``spark.checkpoint.dir``, so
+    the result outlives a lost executor. A local session may go without one and gets a scratch folder.
     """
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint(eager=True)
+    path = f"{context.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
