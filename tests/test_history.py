@@ -161,3 +161,10 @@ def test_keys_of_few_rows_are_shuffled_and_sorted_once(spark):
     versions = history.scd2(log, ["k"], untracked=["note"])
     plan = versions._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
+def test_repeated_rows_leave_every_version_its_start(spark):
+    rows = [(k, "ab"[k % 2], "n", "UPDATE", BASE + timedelta(hours=k), k) for k in range(500)]
+    log = spark.createDataFrame(rows * 2, SCHEMA).repartition(7)
+    got = history.scd2(log, ["k"], untracked=["note"]).collect()
+    assert sorted((r.k, r["__START_AT"], r["__END_AT"]) for r in got) == [(r[0], r[4], None) for r in rows]
