@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerstone.operators.joins import lookup
 
@@ -18,11 +18,16 @@ if TYPE_CHECKING:
 
 
 def application_lifecycle(w: Warehouse) -> DataFrame:
-    """Applications with their stages and status changes, by application and time of entry."""
+    """Applications with their stages and status changes, by application and time of entry.
+
+    Equal status changes of an application are one row with their number until all is in order: the
+    join and the sort handle distinct changes, and the listing repeats each as often as it stands there.
+    """
     stages = w.silver("app_stage_history").select("application_id", "stage", "entered_at", "exited_at", "assigned_team", "pending_action_party")
-    changes = w.silver("app_status_change").select("application_id", "old_status", "new_status", "reason")
+    changes = w.silver("app_status_change").groupBy("application_id", "old_status", "new_status", "reason").agg(F.count("*").alias("_times"))
     listed = lookup(w.silver("app_application").select("application_id", "final_outcome"), stages, ["application_id"])
-    return lookup(listed, changes, ["application_id"]).orderBy("application_id", "entered_at", "old_status", "new_status")
+    ordered = lookup(listed, changes, ["application_id"]).orderBy("application_id", "entered_at", "old_status", "new_status")
+    return ordered.withColumn("_times", F.explode(F.sequence(F.lit(1), F.coalesce("_times", F.lit(1)).cast("bigint")))).drop("_times")
 
 
 def case_events(w: Warehouse) -> DataFrame:
