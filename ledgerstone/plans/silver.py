@@ -33,6 +33,7 @@ from ledgerstone.operators.history import (
     SEQUENCE,
     TIE_BREAKS,
     current_snapshot,
+    run_id,
     scd2,
     with_audit_columns,
     with_sequence,
@@ -500,8 +501,14 @@ def projection(columns: Sequence[tuple[str, str, str]]) -> list[Column]:
     return [KINDS[kind](F.col(f"`{source}`")).alias(name) for name, kind, source in columns]
 
 
-def typed(entity: Entity, source: DataFrame) -> DataFrame:
-    """Typed, cleaned and masked rows with audit columns; works on a batch or a stream."""
+BATCH = "_batch_id"
+
+
+def typed(entity: Entity, source: DataFrame, with_batch: bool = False) -> DataFrame:
+    """Typed, cleaned and masked rows with audit columns; works on a batch or a stream.
+
+    ``with_batch`` keeps the batch that a row came in, so that who picks few of the rows can name their run afterwards.
+    """
     control = [SEQUENCE, OPERATION, *TIE_BREAKS] if entity.mode == SCD2 else []
     if entity.mode == SCD2:
         source = with_sequence(source)
@@ -509,16 +516,17 @@ def typed(entity: Entity, source: DataFrame) -> DataFrame:
         *projection(entity.columns),
         *[build().alias(name) for name, build in entity.derived.items()],
         *[c for c in control if c in source.columns],
-        "_batch_id",
+        BATCH,
         "_ingested_at",
     )
-    return with_audit_columns(
+    audited = with_audit_columns(
         selected,
         [entity.bronze_table],
-        [F.col("_batch_id")],
+        [F.col(BATCH)],
         [F.col("_ingested_at")],
         "MASKED" if entity.masked else "CLEAN",
-    ).drop("_batch_id", "_ingested_at")
+    )
+    return audited.drop("_ingested_at") if with_batch else audited.drop(BATCH, "_ingested_at")
 
 
 def _snapshot(sources: Callable[[str], DataFrame], name: str, keys: Sequence[str]) -> DataFrame:
@@ -589,14 +597,14 @@ def individual(sources: Callable[[str], DataFrame], key: bytes) -> DataFrame:
     )
 
 
-def build(name: str, sources: Callable[[str], DataFrame], key: bytes) -> DataFrame:
+def build(name: str, sources: Callable[[str], DataFrame], key: bytes, with_batch: bool = False) -> DataFrame:
     """Unvalidated rows of an entity: a change log, immutable records or a joined snapshot."""
     if name == "arr_banking_arrangement":
         return banking_arrangement(sources)
     if name == "ip_individual":
         return individual(sources, key)
     entity = ENTITIES[name]
-    return typed(entity, source_passed(sources(entity.source), entity.source))
+    return typed(entity, source_passed(sources(entity.source), entity.source), with_batch)
 
 
 def source_passed(frame: DataFrame, source: str) -> DataFrame:
@@ -632,7 +640,8 @@ def current_rows(name: str, changes: DataFrame) -> DataFrame:
     """Open versions straight from validated changes, without building the history.
 
     The open version equals the latest change of each key that is no delete,
-    which takes one top-1 step instead of the full history.
+    which takes one top-1 step instead of the full history. Changes that keep their
+    batch get the id of their run, a digest longer than the batch, after that step.
     """
     entity = ENTITIES[name]
     if entity.mode == APPEND:
@@ -641,4 +650,6 @@ def current_rows(name: str, changes: DataFrame) -> DataFrame:
         return changes
     order = [F.col(SEQUENCE), *[F.col(c) for c in TIE_BREAKS if c in changes.columns]]
     latest = top_by(changes, entity.keys, [c.desc_nulls_last() for c in order], 1)
+    if BATCH in latest.columns:
+        latest = latest.withColumn("pipeline_run_id", run_id([entity.bronze_table], [F.col(BATCH)])).drop(BATCH)
     return latest.where(F.col(OPERATION) != "DELETE").drop("_rank", SEQUENCE, OPERATION, *TIE_BREAKS)

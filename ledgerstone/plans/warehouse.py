@@ -35,6 +35,7 @@ class Warehouse:
         self.sources, self.as_of, self.token_key = sources, as_of, token_key
         self._stored, self._settled = stored, settled
         self._frames: dict[tuple[str, str], DataFrame] = {}
+        self._kept: set[tuple[str, str]] = set()
 
     @property
     def now(self) -> Column:
@@ -55,9 +56,14 @@ class Warehouse:
             self._frames[slot] = settle(frame) if name in self._settled and kind == "gold" else frame
         return self._frames[slot]
 
+    def holds(self, kind: str, name: str) -> bool:
+        """Whether a product is stored, or will be once it is built, so that reading it is cheaper than building its parts."""
+        return name in self._settled or (kind, name) in self._kept or self._stored(name) is not None
+
     def keep(self, kind: str, name: str, frame: DataFrame) -> None:
         """Use ``frame`` for a product from now on, such as its stored form."""
         self._frames[(kind, name)] = frame
+        self._kept.add((kind, name))
 
     def built(self, name: str) -> DataFrame:
         """Typed rows of an entity before its rules."""
@@ -69,7 +75,13 @@ class Warehouse:
 
     def silver(self, name: str) -> DataFrame:
         """Current rows of an entity."""
-        return self._once("silver", name, lambda: silver.current_rows(name, self.changes(name)))
+        return self._once("silver", name, lambda: silver.current_rows(name, self._changes_with_batch(name)))
+
+    def _changes_with_batch(self, name: str) -> DataFrame:
+        """``changes`` whose current rows name their run only when they are found."""
+        if silver.ENTITIES[name].mode != silver.SCD2 or {("built", name), ("changes", name)} & self._kept:
+            return self.changes(name)
+        return silver.validated(name, silver.build(name, self.sources, self.token_key, with_batch=True), self.as_of)
 
     def history(self, name: str) -> DataFrame:
         """All stored rows of an entity: type 2 versions or immutable records."""
