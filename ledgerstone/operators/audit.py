@@ -82,7 +82,7 @@ def orphan_keys(child: DataFrame, entity: str, parent: DataFrame, pairs: Sequenc
     names = [c for c, _ in pairs]
     complete = reduce(lambda f, c: f.where(F.col(c).isNotNull()), names, child)
     held = complete.groupBy(*names).count()
-    parents = parent.select(*[F.col(p).alias(c) for c, p in pairs])
+    parents = parent.select(*[F.col(p).alias(c) for c, p in pairs]).distinct()
     return _rows(held.join(parents, names, "left_anti"), "ORPHAN_KEY", entity, _key(names), F.col("count"))
 
 
@@ -90,10 +90,13 @@ def unreconciled(
     source: DataFrame, target: DataFrame, entity: str, pairs: Sequence[tuple[str, str]], as_of: datetime,
     lag_minutes: int = 30,
 ) -> DataFrame:
-    """Source rows older than the lag that never reached the target."""
+    """Source rows older than the lag that never reached the target.
+
+    Only the distinct keys of the target count, so Spark leaves out of its plan what merely adds columns to them.
+    """
     due = source.where(F.col("processed_at") < F.lit(as_of - timedelta(minutes=lag_minutes)).cast("timestamp"))
     names = [s for s, _ in pairs]
-    arrived = target.select(*[F.col(t).alias(s) for s, t in pairs])
+    arrived = target.select(*[F.col(t).alias(s) for s, t in pairs]).distinct()
     return _rows(due.join(arrived, names, "left_anti"), "NOT_RECONCILED", entity, _key(names), F.lit(1))
 
 
