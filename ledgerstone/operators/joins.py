@@ -61,17 +61,15 @@ def salted_join(
 def orphans(child: DataFrame, parent: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Child rows with a complete key that has no parent row.
 
-    The missing keys are found on the distinct child keys, which combine on the
-    map side, so a frequent key costs no more than a rare one. Only keys without
-    a parent go on to select the child rows.
+    The child is computed and shuffled once, whatever it takes to build it. The parent is
+    reduced to its distinct keys first; a key that many child rows hold fills a partition
+    that Spark splits at run time.
     """
     names = [c for c, _ in pairs]
     complete = child
     for name in names:
         complete = complete.where(F.col(name).isNotNull())
-    parents = parent.select(*[F.col(p).alias(c) for c, p in pairs])
-    missing = complete.select(*names).distinct().join(parents, names, "left_anti")
-    return salted_join(complete, missing, names, "left_semi")
+    return complete.join(parent.select(*[F.col(p).alias(c) for c, p in pairs]).distinct(), names, "left_anti")
 
 
 def valid_at(
