@@ -9,17 +9,18 @@ the ranks gives each word the ids that it has on its own.
 
 Words are what the vocabulary's own normaliser and splitting rule make of a chunk
 between white space. No rule looks across white space, so chunks are looked up whole; a
-bounded number is remembered. Strings of special tokens in a text are those tokens, as
+bounded number of chunks and of words is remembered, by all tasks of one worker. Strings of special tokens in a text are those tokens, as
 in the library with its default settings.
 
 Nothing is shuffled and memory is one slice of text, its ids and the bounded memory of
-chunks, so a task lost with its executor is simply run again. Null and empty text have no
+chunks and words, so a task lost with its executor is simply run again. Null and empty text have no
 ids and decode to an empty text. Repeated rows and null ids give a row each; an empty
 table gives none. Columns other than the ones named are not read.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
@@ -33,8 +34,10 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerstone.llm.common import chosen, text_slices
 from ledgerstone.llm.packing import vocabulary
 
-#: Chunks between white space whose ids a worker remembers; beyond them the memory starts anew.
+#: Chunks between white space whose ids a worker remembers; beyond them the oldest half is dropped.
 CACHE_CHUNKS = 400_000
+#: Words whose ids it remembers besides, so that chunks that share them meet the merges once.
+CACHE_WORDS = 200_000
 #: Ids that are decoded at a time; one longer text is decoded alone.
 DECODE_IDS = 1 << 20
 #: Marks in a row of symbols: between words, and where a merge took the symbol.
@@ -119,15 +122,34 @@ class Merges:
         return [kept[i + 1 : j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
-class Chunks(dict):
+class Memory(dict):
+    """What was asked for lately: when the newer half is full, the older half is dropped."""
+
+    def __init__(self, size: int):
+        self.half, self.older = size // 2, {}
+
+    def unknown(self, names: set[str]) -> list[str]:
+        """The names that are not remembered; the others stay until the next call at least."""
+        if len(self) > self.half:
+            self.older = dict(self)
+            self.clear()
+        absent = [n for n in names if n not in self]
+        self.update((n, self.older[n]) for n in absent if n in self.older)
+        return [n for n in absent if n not in self.older]
+
+
+class Chunks(Memory):
     """Ids (as bytes) of chunks between white space."""
 
     def __init__(self, path: str):
+        super().__init__(CACHE_CHUNKS)
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.merges = Merges(path)
+        #: Ids (as bytes) of words
+        self.known = Memory(CACHE_WORDS)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.merges.specials, key=len, reverse=True))) + ")")
         #: Characters that Python splits at and the vocabulary's rule for white space does not
         self.joined = re.compile("[\x1c-\x1f]")
@@ -151,21 +173,30 @@ class Chunks(dict):
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not known yet, together."""
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
-        fresh = [c for c in chunks if c not in self]
-        words = {c: self.words(c) for c in fresh if c not in self.merges.specials}
-        distinct = list({w for ws in words.values() for w in ws})
-        ids = {w: i.tobytes() for w, i in zip(distinct, self.merges.encoded(distinct))}
-        for c in fresh:
-            self[c] = b"".join([ids[w] for w in words[c]]) if c in words else np.int32(self.merges.specials[c]).tobytes()
+        fresh = self.unknown(chunks)
+        parts = [() if c in self.merges.specials else self.words(c) for c in fresh]
+        new = self.known.unknown({w for ws in parts for w in ws})
+        self.known.update((w, i.tobytes()) for w, i in zip(new, self.merges.encoded(new)))
+        for c, ws in zip(fresh, parts):
+            self[c] = np.int32(self.merges.specials[c]).tobytes() if c in self.merges.specials else b"".join([self.known[w] for w in ws])
+
+
+#: What a worker keeps from task to task: the chunks it remembers, and the tokens of a vocabulary.
+@functools.lru_cache(maxsize=1)
+def remembered(path: str) -> Chunks:
+    return Chunks(path)
+
+
+@functools.lru_cache(maxsize=1)
+def token_texts(path: str) -> pa.Array:
+    return pa.array(Merges(path).tokens, pa.large_string())
 
 
 def encode(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """(doc_id, ids): the token ids of each whole text."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Chunks(vocabulary_path or vocabulary("word_bpe_49k.json"))
+        known = remembered(vocabulary_path or vocabulary("word_bpe_49k.json"))
         for part, _, _ in text_slices(batches):
             texts = [known.of(t or "") for t in part.column(1).to_pylist()]
             known.learn(set().union(*texts))
@@ -181,7 +212,7 @@ def decode(encoded: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """(doc_id, ids, text): tokens of the ids, special ones included, joined by spaces (the vocabulary names no decoder)."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = pa.array(Merges(vocabulary_path or vocabulary("word_bpe_49k.json")).tokens, pa.large_string())
+        tokens = token_texts(vocabulary_path or vocabulary("word_bpe_49k.json"))
         for batch in batches:
             column = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
             at = column.offsets.to_numpy()

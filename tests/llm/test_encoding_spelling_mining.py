@@ -54,6 +54,21 @@ def test_encoding_of_random_strings(library):
         assert np.frombuffer(b"".join(known[c] for c in parts), np.int32).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_meet_the_merges_once(monkeypatch):
+    """Chunks that share words, and words asked for lately when the memory is full, are not encoded again."""
+    path = merge_encoding.vocabulary("word_bpe_49k.json")
+    met, encoded = [], merge_encoding.Merges.encoded
+    monkeypatch.setattr(merge_encoding.Merges, "encoded", lambda self, words: met.extend(words) or encoded(self, words))
+    monkeypatch.setattr(merge_encoding, "CACHE_CHUNKS", 4)
+    monkeypatch.setattr(merge_encoding, "CACHE_WORDS", 8)
+    known = merge_encoding.Chunks(path)
+    for chunks in ({"lake", "lake,"}, {"(lake)", "LAKE."}, {"lake", "hill"}, {"hill,", "lake"}):
+        known.learn(chunks)
+        assert all(len(known[c]) for c in chunks)
+    assert sorted(met) == sorted({"lake", ",", "(", ")", ".", "hill"})
+    assert len(known) + len(known.older) <= 8 and merge_encoding.remembered(path) is merge_encoding.remembered(path)
+
+
 def test_vocabulary_that_one_pass_cannot_apply(tmp_path):
     import json
 
