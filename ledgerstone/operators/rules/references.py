@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from ledgerstone.operators.joins import lookup, orphans
-from ledgerstone.operators.rules.groups import found, keyed
+from ledgerstone.operators.joins import orphans
+from ledgerstone.operators.rules.groups import _complete, found, keyed
 from ledgerstone.operators.rules.rows import _OPERATORS, condition
 
 Spec = Mapping[str, Any]
@@ -137,7 +138,7 @@ _TIME = {"REFERENCE_TIMESTAMP_COMPARISON"}
 _EQUAL = {"REFERENCE_COLUMN_EQUAL_IF_BOTH_PRESENT", "CHILD_REFERENCE_CUSTOMER_CONSISTENCY", "JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY"}
 _ITEMS = {"JSON_ARRAY_FOREIGN_KEY", "JSON_ARRAY_REFERENCE_PARENT_CONSISTENCY"}
 _COUNTS = {"CHILD_ROW_COUNT_MATCH", "PARENT_DECLARED_CHILD_COUNT_MATCH"}
-_THERE, _FAILED = "_there", "_failed"
+_THERE, _FIRST, _CHILD, _FAILED = "_there", "_first", "_child", "_failed"
 
 
 @dataclass(frozen=True)
@@ -197,21 +198,44 @@ def _failures(rules: Sequence[Reference], broken: Sequence[Column], key: Callabl
     return F.array_compact(F.array(*rows))
 
 
-def _judged_by_join(child: DataFrame, parent: DataFrame, rules: Sequence[Reference]) -> DataFrame:
+def _judged_by_join(child: DataFrame, parent: DataFrame, rules: Sequence[Reference], riders: Sequence[tuple[DataFrame, Sequence[Reference]]] = ()) -> DataFrame:
+    """The rules of one group, and of ``riders``: existence rules of the same child whose keys hold this group's whole key.
+
+    Rows of the child and of the riders' parents are spread together by this group's key, and
+    a window over a rider's keys tells whether a parent row stands among them: one shuffle of
+    the child for all. Child rows with an incomplete key break nothing and stay out of it.
+    """
     pairs = _pairs(rules[0])
+    names = [c for c, _ in pairs]
     wanted = sorted({c for r in rules for c in _parent_columns(r)})
-    met = {f"_met_{i}": F.expr(r.spec.get("parent_where", "true")) for i, r in enumerate(rules) if r.type in _EXISTENCE}
+    met = _met_by(rules, 0)
     side = parent.select(*[F.col(p).alias(c) for c, p in pairs], *[F.col(c).alias(f"parent_{c}") for c in wanted], *[m.alias(n) for n, m in met.items()], F.lit(True).alias(_THERE))
-    names = [c for c, _ in pairs]
     if not wanted:  # existence alone does not ask for one parent row a key
         side = side.groupBy(*names).agg(*[F.bool_or(n).alias(n) for n in met], F.lit(True).alias(_THERE))
+    if riders:  # of a child row that several parent rows meet, the riders' rules judge the first
+        side = side.withColumn(_FIRST, F.row_number().over(Window.partitionBy(*names).orderBy(*names)) == 1)
     if rules[0].type in _ITEMS:
         kept = sorted({c for r in rules for c in [*r.spec["key"], *([r.spec["left"]] if "left" in r.spec else [])]})
         items = F.explode(F.from_json(rules[0].spec["column"], "array<string>")).alias("_item")
-        child = child.select(*kept, items).where(F.col("_item").isNotNull())
-    joined = lookup(child, side, names)
+        child = child.select(*kept, items)
+    child, judged_here = _complete(child, names), list(rules)
     broken = [_broken(r, i) for i, r in enumerate(rules)]
-    return joined.select(_failures(rules, broken, _key_of, F.lit(1)).alias(_FAILED))
+    if riders:
+        rows, asked = child.withColumn(_CHILD, F.lit(True)), {}
+        for other, members in riders:
+            keys, here = _pairs(members[0]), _met_by(members, len(judged_here))
+            known = other.select(*[F.col(p).cast(child.schema[c].dataType).alias(c) for c, p in keys], *[m.alias(n) for n, m in here.items()])
+            rows = rows.unionByName(_complete(known, names), allowMissingColumns=True)
+            asked |= {n: F.bool_or(n).over(Window.partitionBy(*[c for c, _ in keys])) for n in here}
+            broken += [F.coalesce(_FIRST, F.lit(True)) & _broken(r, i) for i, r in enumerate(members, len(judged_here))]
+            judged_here += members
+        child = rows.repartition(*names).withColumns(asked).where(_CHILD)
+    joined = child.join(side, names, "left" if met or riders else "inner")
+    return joined.select(_failures(judged_here, broken, _key_of, F.lit(1)).alias(_FAILED))
+
+
+def _met_by(rules: Sequence[Reference], first: int) -> dict[str, Column]:
+    return {f"_met_{i}": F.expr(r.spec.get("parent_where", "true")) for i, r in enumerate(rules, first) if r.type in _EXISTENCE}
 
 
 def _judged_by_count(declared: DataFrame, counted: DataFrame, rules: Sequence[Reference]) -> DataFrame:
@@ -227,8 +251,23 @@ def _judged_by_count(declared: DataFrame, counted: DataFrame, rules: Sequence[Re
     return both.select(_failures(rules, wrong, key, number).alias(_FAILED))
 
 
+def _riding(tables: Mapping[str, DataFrame], groups: Mapping[tuple, Sequence[Reference]]) -> dict[tuple, list[tuple]]:
+    """Groups that take others along in their shuffle: a group that reads parent columns, so that its key
+    is a whole key of its parent, and groups of existence rules of the same child whose keys hold that key."""
+    taken: dict[tuple, list[tuple]] = {}
+    joins = {g: {c for c, _ in g[3]} for g in groups if g[0] == "join" and g[4] is None}
+    bases = [g for g in joins if any(_parent_columns(r) for r in groups[g])]
+    for g, names in joins.items():
+        base = next((b for b in bases if b[1] == g[1] and joins[b] <= names), None)
+        types = [(tables[g[1]].schema[c].dataType, tables[g[2]].schema[p].dataType) for c, p in g[3]]
+        if g not in bases and base and all(a == b or b == DateType() and a in (TimestampType(), TimestampNTZType()) for a, b in types):
+            taken.setdefault(base, []).append(g)
+    return taken
+
+
 def judged(tables: Mapping[str, DataFrame], rules: Sequence[Reference]) -> DataFrame:
-    """(rule_type, record_key, observed) of every broken rule, from one join for each pair of data sets and keys.
+    """(rule_type, record_key, observed) of every broken rule, from one join for each pair of data sets and keys;
+    existence rules of a child whose keys hold that of another of its joins use the other's shuffle.
 
     Parents whose columns a rule reads are unique per key. Types that no joined row
     decides run in their single form.
@@ -240,8 +279,16 @@ def judged(tables: Mapping[str, DataFrame], rules: Sequence[Reference]) -> DataF
             groups.setdefault(_group(rule), []).append(rule)
         else:
             parts.append(REFERENCE_RULES[rule.type](tables[rule.child], tables[rule.parent], {"type": rule.type, **rule.spec}))
-    for (kind, first, second, *_), members in groups.items():
-        judge = _judged_by_count if kind == "counts" else _judged_by_join
-        failed = judge(tables[first], tables[second], members).where(F.size(_FAILED) > 0)
+    ridden = _riding(tables, groups)
+    carried = {rider for riders in ridden.values() for rider in riders}
+    for group, members in groups.items():
+        kind, first, second, *_ = group
+        if group in carried:
+            continue
+        if kind == "counts":
+            failed = _judged_by_count(tables[first], tables[second], members)
+        else:
+            failed = _judged_by_join(tables[first], tables[second], members, [(tables[r[2]], groups[r]) for r in ridden.get(group, ())])
+        failed = failed.where(F.size(_FAILED) > 0)
         parts.append(failed.select(F.explode(_FAILED).alias("f")).select("f.*"))
     return reduce(DataFrame.unionByName, parts)

@@ -155,6 +155,28 @@ def test_grouped_reference_rules_equal_single_ones(spark):
     assert plan.count("Join") == 1
 
 
+def test_existence_rules_use_the_shuffle_of_a_join_on_a_part_of_their_key(spark):
+    """Null and repeated keys on either side give what the single forms give."""
+    rng = random.Random(9)
+    some = lambda *values: rng.choice([None, *values])
+    child = spark.createDataFrame([(i % 60, some(1, 2, 3, 9), some("x", "y"), some("2024-01-01", "2024-01-02")) for i in range(70)], "id int, k int, v string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    parent = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (None, "x")], "p int, w string")
+    days = spark.createDataFrame([(some(1, 2, 3), some("2024-01-01", "2024-01-02")) for _ in range(5)], "p int, day string").withColumn("day", F.col("day").cast("date"))
+    both = spark.createDataFrame([(some(1, 2, 3), some("x", "y")) for _ in range(9)], "p int, w string")
+    rules = [
+        Reference("REFERENCE_CONDITION", "child", "parent", {"key": ["id"], "pairs": [("k", "p")], "parent_columns": ["w"], "condition": "parent_w = 'x'"}),
+        Reference("REFERENCE_PAIR_CONSISTENT", "child", "days", {"key": ["id"], "pairs": [("k", "p"), ("at", "day")]}),
+        Reference("REFERENCE_TRIPLE_CONSISTENT", "child", "both", {"key": ["id"], "pairs": [("k", "p"), ("v", "w")], "parent_where": "w = 'x'"}),
+    ]
+    tables = {"child": child, "parent": parent, "days": days, "both": both}
+    grouped = judged(tables, rules)
+    want = Counter()
+    for r in rules:
+        want.update(tuple(x) for x in REFERENCE_RULES[r.type](tables[r.child], tables[r.parent], {"type": r.type, **r.spec}).collect())
+    assert Counter(tuple(r) for r in grouped.collect()) == want and len({t for t, *_ in want}) == len(rules)
+    assert grouped._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_metrics_are_counted_while_writing(spark, tmp_path):
     contract = Contract("t", ("k",), (Rule("K_SET", "error", "completeness", "k IS NOT NULL"), Rule("K_SMALL", "warning", "conformity", "k < 5")))
     rows = spark.createDataFrame([(i if i % 3 else None,) for i in range(20)], "k int")
