@@ -88,7 +88,9 @@ def json_rows(lines: DataFrame, schema: StructType) -> DataFrame:
         parsed = parsed.withColumns(step)
     unreadable = F.when(opened.held.isNull(), F.col(VALUE)).alias(UNREADABLE)
     rescued = F.when(F.size(opened.members) > 0, _object(opened.members)).alias(RESCUED)
-    return parsed.select(*rest, *opened.fields, rescued, unreadable)
+    # Made by a generator: a filter on a projected column would move below the steps and repeat all of them, the parse included
+    parsed = parsed.select("*", F.inline(F.array(F.struct(rescued, unreadable))))
+    return parsed.select(*rest, *opened.fields, RESCUED, UNREADABLE)
 
 
 def csv_headers(lines: DataFrame) -> DataFrame:

@@ -35,6 +35,14 @@ def test_json_rows_split_typed_rescued_and_unreadable(spark):
     assert all(r.id is None and r._rescued_data is None for r in rows[3:])
 
 
+def test_filters_on_rescued_data_do_not_parse_again(spark):
+    frame = spark.createDataFrame([('{"id": "no", "inner": {"z": 1}}',), ("broken",), ('{"id": 1}',)], "value string")
+    rows = reading.json_rows(frame, StructType.fromDDL("id bigint, inner struct<a: bigint, deep: struct<b: string>>"))
+    held = rows.where("_rescued_data IS NOT NULL OR _unreadable IS NOT NULL").select("_rescued_data", "_unreadable")
+    assert {tuple(r) for r in held.collect()} == {('{"id":"no","inner":{"z":1}}', None), (None, "broken")}
+    assert held._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
 def test_csv_by_header_name(spark, tmp_path):
     files = {
         "a.csv": "id,note\n1,x\n", "shuffled [1].csv": 'note,id\n"a, ""q""",2\n\n,3\n', "extra.csv": "﻿ID,other,note,note\n4,o,n,again\n5,,m,\n",
