@@ -48,3 +48,8 @@ def test_gaps_of_any_width_are_one_row(spark):
     ids = spark.createDataFrame([(1,), (3,), (3,), (9 * 10**15,)], "id long")
     got = GROUP_RULES["IDENTIFIER_SEQUENCE_COMPLETE"](ids, {"type": "IDENTIFIER_SEQUENCE_COMPLETE", "column": "id", "pattern": "^([0-9]+)$"})
     assert {tuple(r)[1:] for r in got.collect()} == {("2..2", 1), (f"4..{9 * 10**15 - 1}", 9 * 10**15 - 4)}
+
+
+def test_source_of_a_customers_timeline_is_built_once(spark):
+    view = CHECKS["mv_self_application_timeline"].query(spark, "/root/testdata/sf0.001")
+    assert view.count() and all("/settled-" in f for f in view.inputFiles())
