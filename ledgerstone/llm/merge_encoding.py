@@ -25,6 +25,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -106,8 +107,11 @@ class Merges:
         while active:
             r = heapq.heappop(active)
             a, b, made = self.rules[r]
-            at = np.unique(np.concatenate(places.pop(r)))
+            lists = places.pop(r)
+            at = lists[0] if len(lists) == 1 else ordered(lists)  # a list is in order and names no place twice
             at = at[(symbol[at] == a) & (symbol[right[at]] == b)]  # the others lost a symbol to an earlier merge
+            if not len(at):
+                continue
             if a == b and len(at) > 1:  # of a chain of overlapping pairs every other one, from the left
                 chained = np.r_[False, left[at[1:]] == at[:-1]]
                 step = np.arange(len(at))
@@ -116,12 +120,19 @@ class Merges:
             beyond = right[after]
             symbol[at], symbol[after] = made, TAKEN
             right[at], left[beyond] = beyond, at
-            index(np.unique(np.concatenate([at, left[at]])))
+            index(ordered([at, left[at]]))
         kept = symbol[symbol != TAKEN].astype(np.int32)
         ends = np.flatnonzero(kept == GAP)
         return [kept[i + 1 : j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
+def ordered(lists: list[np.ndarray]) -> np.ndarray:
+    """The places of all lists, each once."""
+    at = np.concatenate(lists)
+    at.sort()
+    return at[np.r_[True, at[1:] != at[:-1]]]
+
+
 class Memory(dict):
     """What was asked for lately: when the newer half is full, the older half is dropped."""
 
@@ -133,9 +144,11 @@ class Memory(dict):
         if len(self) > self.half:
             self.older = dict(self)
             self.clear()
-        absent = [n for n in names if n not in self]
-        self.update((n, self.older[n]) for n in absent if n in self.older)
-        return [n for n in absent if n not in self.older]
+        absent = names.difference(self)
+        fresh = absent.difference(self.older)
+        absent -= fresh
+        self.update(zip(absent, map(self.older.__getitem__, absent)))
+        return list(fresh)
 
 
 class Chunks(Memory):
@@ -148,6 +161,8 @@ class Chunks(Memory):
         library = Tokenizer.from_file(path)
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.merges = Merges(path)
+        #: The byte alphabet's form of Latin-1 letters in lower case
+        self.bytes_of = {ord(c): self.split(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
         #: Ids (as bytes) of words
         self.known = Memory(CACHE_WORDS)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.merges.specials, key=len, reverse=True))) + ")")
@@ -163,22 +178,30 @@ class Chunks(Memory):
             return [c for c in self.white.split(text) if c]
         return text.split()
 
-    #: The vocabulary's splitting rule for printable ASCII in lower case, which its normaliser and byte alphabet leave as it is
-    ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    #: Printable ASCII and the letters of Latin-1, which the vocabulary's normaliser only puts into lower case
+    PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    #: The vocabulary's splitting rule for them, in lower case
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
     def words(self, chunk: str) -> list[str]:
-        if chunk.isascii() and chunk.isprintable():
-            return self.ASCII.findall(chunk.lower())
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk.isprintable():
+                return self.PARTS.findall(chunk.lower())
+        elif self.PLAIN.fullmatch(chunk):
+            return [w if w.isascii() else w.translate(self.bytes_of) for w in self.PARTS.findall(chunk.lower())]
         return [w for w, _ in self.split(self.normal(chunk))]
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not known yet, together."""
         fresh = self.unknown(chunks)
-        parts = [() if c in self.merges.specials else self.words(c) for c in fresh]
-        new = self.known.unknown({w for ws in parts for w in ws})
-        self.known.update((w, i.tobytes()) for w, i in zip(new, self.merges.encoded(new)))
+        specials, known = self.merges.specials, self.known
+        parts = [() if c in specials else self.words(c) for c in fresh]
+        new = known.unknown(set(chain.from_iterable(parts)))
+        known.update((w, i.tobytes()) for w, i in zip(new, self.merges.encoded(new)))
         for c, ws in zip(fresh, parts):
-            self[c] = np.int32(self.merges.specials[c]).tobytes() if c in self.merges.specials else b"".join([self.known[w] for w in ws])
+            self[c] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) if ws else np.int32(specials[c]).tobytes() if c in specials else b""
 
 
 #: What a worker keeps from task to task: the chunks it remembers, and the tokens of a vocabulary.
@@ -198,9 +221,12 @@ def encode(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = remembered(vocabulary_path or vocabulary("word_bpe_49k.json"))
         for part, _, _ in text_slices(batches):
-            texts = [known.of(t or "") for t in part.column(1).to_pylist()]
-            known.learn(set().union(*texts))
-            rows = [b"".join(map(known.__getitem__, chunks)) for chunks in texts]
+            texts = part.column(1).to_pylist()
+            chunks: set[str] = set()
+            for t in texts:
+                chunks.update(known.of(t or ""))
+            known.learn(chunks)
+            rows = [b"".join(map(known.__getitem__, known.of(t or ""))) for t in texts]  # cut again: a slice's chunks, one by one, take many times its text
             ends = np.cumsum([0, *(len(r) // 4 for r in rows)])
             ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), np.int32)))
             yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])

@@ -54,6 +54,20 @@ def test_encoding_of_random_strings(library):
         assert np.frombuffer(b"".join(known[c] for c in parts), np.int32).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_latin_letters_are_split_without_the_library(library, monkeypatch):
+    """Words of Latin-1 letters and printable ASCII need no call of the library's normaliser, and have its ids."""
+    known = merge_encoding.Chunks(merge_encoding.vocabulary("word_bpe_49k.json"))
+    rng = random.Random(5)
+    letters = [*map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x100)]), *"aest'sreÉéßüÿ0129"]
+    called, normal = [], known.normal
+    monkeypatch.setattr(known, "normal", lambda chunk: called.append(chunk) or normal(chunk))
+    chunks = {"".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(4000)}
+    known.learn(chunks)
+    for chunk in chunks:
+        assert np.frombuffer(known[chunk], np.int32).tolist() == library.encode(chunk, add_special_tokens=False).ids, chunk
+    assert called and all(set(chunk) & {"\u00d7", "\u00f7"} for chunk in called)
+
+
 def test_words_meet_the_merges_once(monkeypatch):
     """Chunks that share words, and words asked for lately when the memory is full, are not encoded again."""
     path = merge_encoding.vocabulary("word_bpe_49k.json")
