@@ -13,6 +13,7 @@ Counting reads each text once, in one pass that sums per task what fits a bounde
 then by a map-side combined aggregate. All later steps work on distinct words. Forms are
 followed by pointer jumping: a form has at least ``RATIO`` times its word's count, so
 chains are short and a few joins, their number set by the largest count, reach the roots.
+No side of a join is broadcast, as none has a bound.
 
 Null texts and texts without runs have no words; a null doc_id is written as ``null`` in
 the checksum. Repeated rows count each. An empty table gives no rows. Columns other than
@@ -100,11 +101,16 @@ def signatures(word: Column) -> Column:
     return F.transform(held, signed)[0]
 
 
+def unbounded(side: DataFrame) -> DataFrame:
+    """A side that grows with the vocabulary is shuffled: Spark sizes it by its compressed file, and as if an explode added no rows."""
+    return side.hint("merge")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, a_n, b, b_n) of words that differ by one code point, each pair once, a before b in code-point order."""
     signed = words.select("word", "n", F.explode(signatures(F.col("word"))).alias("signature"))
     left, right = (signed.select("signature", F.col("word").alias(x), F.col("n").alias(f"{x}_n")) for x in "ab")
-    met = left.join(right, "signature").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    met = left.join(unbounded(right), "signature").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 
@@ -114,7 +120,7 @@ def forms(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     each = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("a").alias("b"), F.col("a_n").alias("b_n")))
     best = each.groupBy(F.col("a").alias("word")).agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("b_n")).alias("minus_n"), F.col("b").alias("form"))).alias("first"))
     enough = -F.col("first.minus_n") >= ratio * F.col("n")
-    return words.join(best, "word", "left").select(
+    return words.join(unbounded(best), "word", "left").select(
         "word", "n", F.when(enough, F.col("first.form")).alias("form"), F.when(enough, -F.col("first.minus_n")).alias("form_n"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near")
     )
 
@@ -130,6 +136,6 @@ def grouped(docs: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFram
     jumps = known.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     while longest > 1:
         onward = jumps.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        jumps = stored(jumps.join(onward, "root", "left").select("word", F.coalesce("beyond", "root").alias("root")), "roots")
+        jumps = stored(jumps.join(unbounded(onward), "root", "left").select("word", F.coalesce("beyond", "root").alias("root")), "roots")
         longest = (longest + 1) // 2
-    return known.join(jumps, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return known.join(unbounded(jumps), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

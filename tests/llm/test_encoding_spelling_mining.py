@@ -221,3 +221,13 @@ def test_lookups_score_exactly():
         bits = hard_negatives.packed(v, planes)
         assert (hard_negatives.unpacked(bits, size) == v).all()
         assert (hard_negatives.scores(hard_negatives.subset_sums(v[:7], np.dtype(kind)), bits) == v @ v[:7].T).all()
+
+
+def test_no_table_of_words_is_broadcast(spark, documents):
+    rows = [(i, "colours colourz kolours ") for i in range(40)] + [(i, "colours kolours " * 30) for i in range(40, 60)]
+    groups = spelling.grouped(documents(rows))
+    words = spelling.stored(spelling.vocabulary(documents(rows)), "words")
+    for frame in (groups, spelling.near_pairs(words), spelling.forms(words)):
+        frame.collect()
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.word, r.form) for r in groups.collect()) == [("colours", None), ("colourz", "colours"), ("kolours", None)]
