@@ -110,7 +110,8 @@ def _union(parts) -> str:
 
 def _duplicates(spark, sf_dir):
     lines = audit.duplicate_keys(read(spark, sf_dir, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"])
-    return lines.unionByName(audits.duplicates(warehouse(spark, sf_dir, READ_AGAIN)))
+    w = warehouse(spark, sf_dir, audits.key_columns(READ_AGAIN, audits.NATURAL_KEYS))
+    return lines.unionByName(audits.duplicates(w))
 
 
 def _dup_sql(table, entity, keys):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import SparkSession, functions as F
@@ -26,7 +27,7 @@ from ledgerstone.plans.warehouse import Warehouse
 SHARED = frozenset({"dim_customer", "fact_application_current", "fact_service_case_current"})
 
 
-def warehouse(spark: SparkSession, sf_dir: str, settled: frozenset[str] = frozenset()) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, settled: frozenset[str] | Mapping[str, Sequence[str] | None] = frozenset()) -> Warehouse:
     return Warehouse(spark_source(spark, sf_dir), AS_OF, CHECK_KEY, settled=settled)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from types import MappingProxyType
 from typing import TYPE_CHECKING
 
@@ -56,6 +56,45 @@ FOREIGN_KEYS = {
     "fact_subject_context_snapshot": (_CUST, _ORG),
 }
 
+# Columns of a product that the builders of other products name.
+READ_BY_PRODUCTS = {
+    name: tuple(columns.split())
+    for name, columns in {
+        "dim_customer": "global_id customer_id preferred_contact_channel preferred_language marketing_opt_in satisfaction_score processed_at",
+        "dim_organisation": "organisation_id processed_at",
+        "fact_application_document": "application_id is_missing is_received is_rejected is_expired reminders_sent received_at requested_at"
+        " last_reminder_at processed_at",
+        "fact_application_current": "application_id customer_id last_updated_at submitted_at final_outcome latest_status current_stage"
+        " pending_action_party assigned_team missing_document_count rejected_document_count expired_document_count"
+        " total_reminders_sent last_refreshed_at",
+        "fact_arrangement_current": "customer_id organisation_id is_active arrangement_type processed_at",
+        "bridge_organisation_party_role": "organisation_id customer_id party_role start_date authority_level is_active processed_at",
+        "bridge_application_party_authority": "application_id organisation_id",
+        "fact_verification_current": "customer_id organisation_id verification_status review_overdue_flag processed_at kyc_id",
+        "fact_service_case_current": "case_id application_id customer_id organisation_id created_at case_type is_open is_sla_breached"
+        " processed_at",
+        "fact_service_activity": "customer_id is_customer_contact activity_timestamp channel service_activity_id activity_type processed_at",
+    }.items()
+}
+# Entities whose current rows several products read, each after a sort of all their columns.
+READ_ENTITIES = ("app_stage_history", "app_status_change", "app_lifecycle_event")
+
+
+def key_columns(products: Iterable[str], read: Mapping[str, Sequence[str]]) -> dict[str, Sequence[str] | None]:
+    """What to store of each product for an audit that reads the columns ``read``: these and what other products read; entities are whole."""
+    return {p: tuple(dict.fromkeys([*READ_BY_PRODUCTS.get(p, ()), *read.get(p, ())])) for p in products} | dict.fromkeys(READ_ENTITIES)
+
+
+def foreign_columns() -> dict[str, list[str]]:
+    """Columns of each product that its relations name, as child or as parent."""
+    found: dict[str, list[str]] = {}
+    for child, relations in FOREIGN_KEYS.items():
+        for column, parent, parent_column in relations:
+            found.setdefault(child, []).append(column)
+            found.setdefault(parent, []).append(parent_column)
+    return found
+
+
 # Governed entity, product and key columns that must meet within the refresh lag.
 RECONCILED = (
     ("app_application", "fact_application_current", "application_id", "application_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,7 +21,9 @@ class Warehouse:
 
     ``sources`` gives the Bronze rows of a data set by name. ``stored`` may give
     an already written entity or product, which is then read, not rebuilt.
-    ``settled`` names products to compute once because several others read them.
+    ``settled`` names products, and entities' current rows, to compute once because several
+    others read them. As a mapping it gives the columns to store of each, all for None; it
+    must name every column that readers do.
     """
 
     def __init__(
@@ -30,10 +32,11 @@ class Warehouse:
         as_of: datetime,
         token_key: bytes,
         stored: Callable[[str], DataFrame | None] = lambda name: None,
-        settled: frozenset[str] = frozenset(),
+        settled: frozenset[str] | Mapping[str, Sequence[str] | None] = frozenset(),
     ) -> None:
         self.sources, self.as_of, self.token_key = sources, as_of, token_key
-        self._stored, self._settled = stored, settled
+        self._stored = stored
+        self._settled = settled if isinstance(settled, Mapping) else dict.fromkeys(settled)
         self._frames: dict[tuple[str, str], DataFrame] = {}
         self._kept: set[tuple[str, str]] = set()
 
@@ -53,7 +56,10 @@ class Warehouse:
         if slot not in self._frames:
             frame = self._stored(name) if kind in ("gold", "history") else None
             frame = make() if frame is None else frame
-            self._frames[slot] = settle(frame) if name in self._settled and kind == "gold" else frame
+            if name in self._settled and kind in ("gold", "silver"):
+                columns = self._settled[name]
+                frame = settle(frame if columns is None else frame.select(*columns))
+            self._frames[slot] = frame
         return self._frames[slot]
 
     def holds(self, kind: str, name: str) -> bool:

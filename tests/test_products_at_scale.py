@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import CHECKS
 from checks.estate import AS_OF, CHECK_KEY, spark_source
 from ledgerstone.operators.audit import unreconciled
 from ledgerstone.operators.joins import lookup, orphans
@@ -68,3 +69,22 @@ def test_listing_repeats_equal_changes_after_the_sort(spark):
     once = [(None, None), ("o", "m"), ("o", "n"), ("o", "n"), ("o", "n")]
     assert rows == [("A", s, *c) for s in ("s1", "s2") for c in once] + [("B", None, None, None)] * 2
     assert _plan(listing).index("Generate explode") < _plan(listing).index("Sort [")
+
+
+def test_settled_products_store_the_named_columns_only(spark):
+    w = Warehouse(spark_source(spark, SF), AS_OF, CHECK_KEY, settled={"dim_customer": ("global_id", "customer_id"), "app_status_change": None})
+    whole = Warehouse(w.sources, AS_OF, CHECK_KEY)
+    assert w.gold("dim_customer").columns == ["global_id", "customer_id"]
+    assert all("/settled-" in f for f in w.gold("dim_customer").inputFiles() + w.silver("app_status_change").inputFiles())
+    for mine, other in ((w.gold("dim_customer"), whole.gold("dim_customer").select("global_id", "customer_id")), (w.silver("app_status_change"), whole.silver("app_status_change"))):
+        assert mine.columns == other.columns and mine.count() and mine.exceptAll(other).count() == other.exceptAll(mine).count() == 0
+
+
+@pytest.mark.parametrize("query", ["audit_duplicate_keys"])
+def test_products_that_others_read_are_stored_without_columns_of_no_reader(spark, monkeypatch, query):
+    kept = []
+    monkeypatch.setattr("ledgerstone.plans.warehouse.settle", lambda frame: kept.append(frame.columns) or spark.createDataFrame([], frame.schema))
+    CHECKS[query].query(spark, SF)
+    assert kept and not any({"name_token", "requested_amount_masked", "rejection_reason", "resolution_summary"} & {*columns} for columns in kept)
+    if query.startswith("audit"):  # entities that several products read are computed once
+        assert sum("source_table" in columns for columns in kept) == 3
