@@ -10,12 +10,11 @@ from checks.oracle import NOW, compose
 from checks.products import SHARED, warehouse
 from ledgerstone.operators import audit, dependencies
 from ledgerstone.plans import audits
-from ledgerstone.plans.gold import PRODUCTS
 from ledgerstone.plans.silver import ENTITIES, SCD2
 
 DUE = f"processed_at < {NOW} - INTERVAL 24 HOUR"
 ALL = tuple(audits.NATURAL_KEYS)
-# Products that others read too. Those of one reader are not stored whole, so it takes its key columns only.
+# Products that others read too. Those of one reader are not stored, so it takes its key columns only.
 READ_AGAIN = frozenset(ALL) - {
     "dim_date", "dim_stage_action_policy", "fact_application_timeline_event", "bridge_organisation_relationship", "fact_subject_context_snapshot",
 }
@@ -154,9 +153,10 @@ register(
         [_sql("HARD_FAILED_ROW", p, _keys(audits.NATURAL_KEYS[p]), "1", f"gold_{p} WHERE dq_status IS DISTINCT FROM 'PASSED'") for p in GRADED]
     ),
 )
+_RELATED = audits.foreign_columns()
 register(
     "audit_orphan_keys",
-    lambda spark, sf_dir: audits.orphans(warehouse(spark, sf_dir, frozenset(PRODUCTS))),
+    lambda spark, sf_dir: audits.orphans(warehouse(spark, sf_dir, audits.key_columns(_RELATED, _RELATED))),
     _union(
         [
             _sql(
