@@ -131,7 +131,8 @@ _NULLABLE = {"fact_application_document": ["customer_id"], "fact_arrangement_cur
 
 def _null_keys(spark, sf_dir):
     """Natural keys of all products, and keys that may be null, from one scan of each product."""
-    w = warehouse(spark, sf_dir, READ_AGAIN)
+    read = {p: [*k, *_NULLABLE.get(p, ())] for p, k in audits.NATURAL_KEYS.items()}
+    w = warehouse(spark, sf_dir, audits.key_columns(READ_AGAIN, read))
     return audits.profiles(w, required=_NULLABLE).where("audit_id = 'NULL_KEY'")
 
 

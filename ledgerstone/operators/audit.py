@@ -56,18 +56,23 @@ def null_keys(frame: DataFrame, entity: str, keys: Sequence[str]) -> DataFrame:
 def profile(frame: DataFrame, entity: str, keys: Sequence[str], required: Sequence[str] = (), accepted: Mapping[str, Sequence[str]] = MappingProxyType({})) -> DataFrame:
     """Repeated keys, null ``required`` columns and values that are not ``accepted``, in one scan.
 
-    Each row names what it adds to: its key, its null columns, its unexpected values; one
-    count, combined on the map side, then answers all checks. Letters' case does not matter
+    Each row is repeated for what it adds to: its key, its null columns, its unexpected values; one
+    count, combined on the map side, then answers all checks. What names a key or a value is built after
+    that, so a reader of some checks only does not pay for the others. Letters' case does not matter
     to accepted values; nulls are not judged there.
     """
-    entries = [F.struct(F.lit("DUPLICATE_KEY").alias("audit"), F.to_json(F.struct(*keys)).alias("ident"), _key(keys).alias("record_key"))] if keys else []
-    for c in required:
-        entries.append(F.when(F.col(c).isNull(), F.struct(F.lit("NULL_KEY").alias("audit"), F.lit(c).alias("ident"), F.lit(c).alias("record_key"))))
+    checks = [("DUPLICATE_KEY", F.to_json(F.struct(*keys)), _key(keys), F.lit(True))] if keys else []
+    checks += [("NULL_KEY", F.lit(c), F.lit(c), F.col(c).isNull()) for c in required]
     for c, values in accepted.items():
         shown = F.concat_ws("=", F.lit(c), F.col(c))
-        stray = F.col(c).isNotNull() & ~F.upper(c).isin(*[v.upper() for v in values])
-        entries.append(F.when(stray, F.struct(F.lit("UNEXPECTED_VALUE").alias("audit"), shown.alias("ident"), shown.alias("record_key"))))
-    named = frame.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+        checks.append(("UNEXPECTED_VALUE", shown, shown, F.col(c).isNotNull() & ~F.upper(c).isin(*[v.upper() for v in values])))
+    hits = F.array_compact(F.array(*[F.when(hit, F.lit(i)) for i, (*_, hit) in enumerate(checks)]))
+
+    def of_check(values: Sequence[str | Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("_check") == i, v) for i, v in enumerate(values)])
+
+    names = ("audit", "ident", "record_key")
+    named = frame.select("*", F.explode(hits).alias("_check")).select(*[of_check(v).alias(n) for n, v in zip(names, zip(*checks))])
     counted = named.groupBy("audit", "ident", "record_key").count().where("audit <> 'DUPLICATE_KEY' OR count > 1")
     return counted.select(F.col("audit").alias("audit_id"), F.lit(entity).alias("entity_name"), "record_key", F.col("count").alias("observed"))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import CHECKS
 from checks.estate import AS_OF, CHECK_KEY, spark_source
-from ledgerstone.operators.audit import unreconciled
+from ledgerstone.operators.audit import profile, unreconciled
 from ledgerstone.operators.joins import lookup, orphans
 from ledgerstone.plans import gold, listings
 from ledgerstone.plans.warehouse import Warehouse
@@ -80,7 +80,7 @@ def test_settled_products_store_the_named_columns_only(spark):
         assert mine.columns == other.columns and mine.count() and mine.exceptAll(other).count() == other.exceptAll(mine).count() == 0
 
 
-@pytest.mark.parametrize("query", ["audit_duplicate_keys", "audit_orphan_keys"])
+@pytest.mark.parametrize("query", ["audit_duplicate_keys", "audit_null_keys", "audit_orphan_keys"])
 def test_products_that_others_read_are_stored_without_columns_of_no_reader(spark, monkeypatch, query):
     kept = []
     monkeypatch.setattr("ledgerstone.plans.warehouse.settle", lambda frame: kept.append(frame.columns) or spark.createDataFrame([], frame.schema))
@@ -88,3 +88,12 @@ def test_products_that_others_read_are_stored_without_columns_of_no_reader(spark
     assert kept and not any({"name_token", "requested_amount_masked", "rejection_reason", "resolution_summary"} & {*columns} for columns in kept)
     if query.startswith("audit"):  # entities that several products read are computed once
         assert sum("source_table" in columns for columns in kept) == 3
+
+
+def test_profile_names_only_what_is_read(spark, tmp_path):
+    spark.createDataFrame([("a", "k1"), ("a", None), ("a", None), (None, "k2")], "id string, k string").write.parquet(str(tmp_path / "t"))
+    found = profile(spark.read.parquet(str(tmp_path / "t")), "t", ["id", "k"], ["id", "k"], {"k": ("K1",)})
+    rows = sorted((r.audit_id, r.record_key, r.observed) for r in found.collect())
+    assert rows == [("DUPLICATE_KEY", "a|", 2), ("NULL_KEY", "id", 1), ("NULL_KEY", "k", 2), ("UNEXPECTED_VALUE", "k=k2", 1)]
+    plan = _plan(found.where("audit_id = 'NULL_KEY'"))
+    assert plan.index("to_json") < plan.rindex("Filter")  # rows of other checks go before keys are named
