@@ -12,6 +12,7 @@ from checks.catalogue import register
 from checks.estate import AS_OF, CHECK_KEY, spark_source
 from checks.oracle import compose, hard_rules, raw, scd2_sql
 from ledgerstone.plans import listings
+from ledgerstone.plans.audits import READ_BY_PRODUCTS
 from ledgerstone.plans.gold import PRODUCTS
 from ledgerstone.plans.silver import (
     BANKING_ACCOUNT,
@@ -37,7 +38,8 @@ def _history(name):
 
 def _product(name):
     many = name == "fact_subject_context_snapshot"
-    return lambda spark, sf_dir: warehouse(spark, sf_dir, SHARED if many else frozenset()).gold(name)
+    settled = {p: READ_BY_PRODUCTS[p] for p in SHARED} if many else frozenset()
+    return lambda spark, sf_dir: warehouse(spark, sf_dir, settled).gold(name)
 
 
 def _failures(name):

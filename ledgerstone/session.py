@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -55,12 +56,15 @@ def settle(frame: DataFrame) -> DataFrame:
     Used for frames that several downstream products read; each reader takes only the
     columns it needs. The folder is the one the cluster names in ``spark.checkpoint.dir``, so
     the result outlives a lost executor. A local session may go without one and gets a scratch folder.
+    The shuffle files behind it are let go, which Spark does when the driver collects garbage.
     """
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(frame.sparkSession))
     path = f"{context.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    gc.collect()
+    context._jvm.System.gc()
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -80,7 +80,7 @@ def test_settled_products_store_the_named_columns_only(spark):
         assert mine.columns == other.columns and mine.count() and mine.exceptAll(other).count() == other.exceptAll(mine).count() == 0
 
 
-@pytest.mark.parametrize("query", ["audit_duplicate_keys", "audit_null_keys", "audit_orphan_keys"])
+@pytest.mark.parametrize("query", ["audit_duplicate_keys", "audit_null_keys", "audit_orphan_keys", "fact_subject_context_snapshot"])
 def test_products_that_others_read_are_stored_without_columns_of_no_reader(spark, monkeypatch, query):
     kept = []
     monkeypatch.setattr("ledgerstone.plans.warehouse.settle", lambda frame: kept.append(frame.columns) or spark.createDataFrame([], frame.schema))
